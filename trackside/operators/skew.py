@@ -1,0 +1,95 @@
+"""Keep one oversized group from landing whole in one task.
+
+A window sends every row of a group to the same task. That is right for the
+groups this data normally has (a driver's race, a driver's season) and wrong for
+a group that holds a large share of all rows. ``split_by_size`` measures group
+sizes with one column-pruned, map-side combined count and sends only the groups
+above the limit down a second, exact route; ``in_blocks`` gives that route the
+ordered blocks it works on.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackside.session import scratch_root
+
+LIMIT_SETTING = "spark.trackside.maxGroupRows"
+# A window partition of this many narrow rows sorts in a few hundred MB and may spill.
+DEFAULT_LIMIT = 2_000_000
+
+SEQ, BLOCK = "_seq", "_block"
+
+Order = Sequence[str | Column]
+
+
+def group_limit(spark: SparkSession, limit: int | None = None) -> int:
+    """Rows a group may have before it is split."""
+    if limit is not None:
+        return limit
+    return int(spark.conf.get(LIMIT_SETTING, str(DEFAULT_LIMIT)))
+
+
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """NULL-safe equality of ``key`` and ``prefix + key`` for every key."""
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(prefix + key))
+    return condition
+
+
+def prefixed(df: DataFrame, keys: Sequence[str], prefix: str, *others: str) -> DataFrame:
+    """Select the keys under prefixed names, so that they can be joined back."""
+    return df.select(*[F.col(key).alias(prefix + key) for key in keys], *others)
+
+
+def split_by_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    small: Callable[[DataFrame], DataFrame],
+    large: Callable[[DataFrame, int], DataFrame],
+    limit: int | None = None,
+) -> DataFrame:
+    """``small(rows)`` for ordinary groups, ``large(rows, blocks)`` for oversized ones.
+
+    Every row goes through exactly one of them, so the result is whole. Runs one
+    job: a count per group reduced to a single row. When no group is oversized,
+    which is the normal case, the plan returned is ``small(df)`` alone.
+    """
+    spark = df.sparkSession
+    limit = group_limit(spark, limit)
+    hot = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    )
+    groups, rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if groups == 0:
+        return small(df)
+    scratch_root(spark)
+    # At most (all rows / limit) keys. Written once, so that both routes see the same list.
+    listed = prefixed(hot, keys, "_hot_").checkpoint()
+    match = same_keys(keys, "_hot_")
+    # Blocks of half the limit on average; the shuffle width is the floor.
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // limit))
+    ordinary = small(df.join(listed, match, "left_anti"))
+    oversized = large(df.join(listed, match, "left_semi"), blocks)
+    return ordinary.unionByName(oversized.select(*ordinary.columns))
+
+
+def in_blocks(df: DataFrame, keys: Sequence[str], order: Order, blocks: int) -> DataFrame:
+    """Cut every group into blocks that follow one another in ``order``.
+
+    Adds ``_seq``, which makes the order total, and ``_block``, which rises with
+    it. Both are written to the checkpoint folder before use: row numbering and
+    sampled range bounds may come out differently when a lost task is run again,
+    and a total must be taken over the same blocks as the rows it is added to.
+    """
+    scratch_root(df.sparkSession)
+    numbered = df.withColumn(SEQ, F.monotonically_increasing_id()).checkpoint()
+    return (
+        numbered.repartitionByRange(blocks, *keys, *order, SEQ)
+        .withColumn(BLOCK, F.spark_partition_id())
+        .checkpoint()
+    )
