@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -17,6 +17,7 @@ from trackside import fixtures, operators  # noqa: E402
 from trackside.functions import build_session_id  # noqa: E402
 from trackside.operators import quality  # noqa: E402
 from trackside.plans import reports  # noqa: E402
+from trackside.plans.pipeline import Pipeline  # noqa: E402
 from trackside.schemas import NATURAL_KEYS, RAW, SOURCE  # noqa: E402
 from trackside.session import apply_settings, scratch_path  # noqa: E402
 from trackside.sources import landing, loading, shaping  # noqa: E402
@@ -27,7 +28,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(1998, 6, 15)
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-pipeline = fixtures.pipeline
+
+def pipeline(
+    spark: SparkSession, sf_dir: str, keep: Sequence[str] = (), **options
+) -> Pipeline:
+    """The pipeline over the given tables; ``keep`` names relations to store on the way."""
+    made = fixtures.pipeline(spark, sf_dir, **options)
+    return made.keep(scratch_path(spark, "kept"), *keep) if keep else made
+
+
+# Relations worth storing before the one named is built: they are read more than once.
+KEPT = {
+    "driver_standings": ["race_results"],
+    "final_standings": ["race_results"],
+    "constructor_standings": ["race_results"],
+    "race_summary": ["stg_results"],
+    "circuit_stats": ["stg_results"],
+}
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> fixtures.RawFeeds:
@@ -41,8 +58,12 @@ def _local_time(df: DataFrame) -> DataFrame:
     return df.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
+def _made(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    return getattr(pipeline(spark, sf_dir, KEPT.get(name, ()), **options), name)
+
+
 def _relation(name: str, **options) -> Query:
-    return lambda spark, sf_dir: getattr(pipeline(spark, sf_dir, **options), name)
+    return lambda spark, sf_dir: _made(spark, sf_dir, name, **options)
 
 
 def _shaped(feed: str) -> Query:
@@ -183,7 +204,7 @@ def backfill_pit_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lap_times_season_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the partitioned lap-time mart and read one driver's season of it."""
     stored = landing.write_clustered(
-        pipeline(spark, sf_dir).lap_times, scratch_path(spark, "lap_times")
+        _made(spark, sf_dir, "lap_times"), scratch_path(spark, "lap_times")
     )
     return reports.lap_times_slice(stored, 1996, "D3")
 
@@ -204,7 +225,7 @@ def dq_missing_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_reconcile_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standings against the points of all loads, with one point per qualifying to adjust."""
-    made = pipeline(spark, sf_dir)
+    made = pipeline(spark, sf_dir, ["stg_results", "race_results"])
     keys = ["season", "abbreviation"]
     adjustments = made.qualifying_results.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("adjustment_points")
@@ -217,13 +238,17 @@ def dq_reconcile_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_season_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = pipeline(spark, sf_dir, as_of=AS_OF)
+    made = pipeline(spark, sf_dir, ["stg_results"], as_of=AS_OF)
     names = ["race_results", "qualifying_results", "lap_times", "season_calendar"]
     return quality.season_coverage({name: getattr(made, name) for name in names})
 
 
 def _report(report: Callable[..., DataFrame], mart: str) -> Query:
-    return lambda spark, sf_dir: report(getattr(pipeline(spark, sf_dir), mart))
+    return lambda spark, sf_dir: report(_made(spark, sf_dir, mart))
+
+
+def report_clean_pace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.clean_pace(pipeline(spark, sf_dir, ["lap_times"]).lap_times)
 
 
 def _on(name: str, run: Callable[[DataFrame], DataFrame]) -> Query:
@@ -297,7 +322,7 @@ def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entry(spark: SparkSession) -> DataFrame:
     """Final season standings from raw results."""
     apply_settings(spark)
-    return reports.standings(pipeline(spark, SMOKE_DIR).final_standings)
+    return reports.standings(_made(spark, SMOKE_DIR, "final_standings"))
 
 
 def _all_queries() -> dict[str, Query]:
@@ -353,7 +378,7 @@ def _all_queries() -> dict[str, Query]:
         "report_points_progression": _report(reports.points_progression, "driver_standings"),
         "report_gap_to_leader": _report(reports.gap_to_leader, "driver_standings"),
         "report_team_wins_dnfs": _report(reports.team_wins_dnfs, "race_results"),
-        "report_clean_pace": _report(reports.clean_pace, "lap_times"),
+        "report_clean_pace": report_clean_pace,
         "report_grid_vs_finish": _report(reports.grid_vs_finish, "race_results"),
         "report_stints": _report(reports.stints, "tyre_strategy"),
         "report_pit_timing": _report(reports.pit_timing, "pit_stops"),

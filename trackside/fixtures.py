@@ -22,8 +22,27 @@ NANOS = 1_000_000_000
 RESULT_TIES = ["l_orderkey", "l_linenumber", "l_partkey"]
 
 
+# Columns of the given tables that the feeds and queries use.
+TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_discount double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(*parts: Column | str) -> Column:

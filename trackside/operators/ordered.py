@@ -23,6 +23,31 @@ from trackside.operators.skew import (
 )
 
 
+def _running_in_blocks(
+    df: DataFrame, value: Column, keys: Sequence[str], order: Order, out: str, blocks: int
+) -> DataFrame:
+    """Total within the row's block plus the totals of the group's earlier blocks."""
+    cut = in_blocks(df, keys, order, blocks)
+    within = (
+        Window.partitionBy(*keys, BLOCK).orderBy(*order, SEQ)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    # At most one row per block of the group.
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        cut.groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
+        .withColumn("_before", F.sum("_total").over(earlier))
+    )
+    before = prefixed(totals, [*keys, BLOCK], "_b_", "_before")
+    local, carried = F.col("_local"), F.col("_before")
+    return (
+        cut.withColumn("_local", F.sum(value).over(within))
+        .join(before, same_keys([*keys, BLOCK], "_b_"))
+        .withColumn(out, F.coalesce(carried + local, local, carried))
+        .select(*[c for c in df.columns if c != out], out)
+    )
+
+
 def running_total(
     df: DataFrame,
     value: str | Column,
@@ -46,26 +71,7 @@ def running_total(
         return part.withColumn(out, F.sum(value).over(frame))
 
     def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        cut = in_blocks(part, keys, order, blocks)
-        within = (
-            Window.partitionBy(*keys, BLOCK).orderBy(*order, SEQ)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        earlier = (
-            Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        totals = (
-            cut.groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
-            .withColumn("_before", F.sum("_total").over(earlier))
-        )
-        before = prefixed(totals, [*keys, BLOCK], "_b_", "_before")
-        local, carried = F.col("_local"), F.col("_before")
-        return (
-            cut.withColumn("_local", F.sum(value).over(within))
-            .join(before, same_keys([*keys, BLOCK], "_b_"))
-            .withColumn(out, F.coalesce(carried + local, local, carried))
-            .select(*[c for c in df.columns if c != out], out)
-        )
+        return _running_in_blocks(part, value, keys, order, out, blocks)
 
     return split_by_size(df, keys, window, blockwise, limit)
 
@@ -80,7 +86,7 @@ def sequence_within(
         return part.withColumn(out, number.cast("bigint"))
 
     def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        return running_total(part, F.lit(1).cast("bigint"), keys, order, out, limit)
+        return _running_in_blocks(part, F.lit(1).cast("bigint"), keys, order, out, blocks)
 
     return split_by_size(df, keys, window, blockwise, limit)
 

@@ -153,7 +153,9 @@ def tyre_strategy(laps: DataFrame, sessions: DataFrame, limit: int | None = None
     )
     numbered = islands(
         known, (F.col("lap_number") == 1) | F.col("is_pit_out_lap"),
-        ["session_id", "abbreviation"], ["lap_number"], "stint_number", limit,
+        ["session_id", "abbreviation"],
+        # The lap decides; the rest only makes copies of a lap come in a fixed order.
+        ["lap_number", "is_pit_out_lap", "lap_time_seconds", "compound"], "stint_number", limit,
     )
     return numbered.groupBy(
         "season", "round_number", "race_name", "session_id", "abbreviation", "stint_number"

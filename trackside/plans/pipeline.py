@@ -27,8 +27,8 @@ CLUSTERED = {
 class Pipeline:
     """Staging relations and marts over seven raw relations.
 
-    Nothing is built before it is asked for. Staging stays lazy. A mart stays
-    lazy too unless ``write`` has stored it; marts built on a stored mart read it.
+    Nothing is built before it is asked for, and all of it stays lazy unless
+    ``keep`` or ``write`` has stored it.
 
     ``tiebreaks`` names, per feed, the columns that decide between rows of the
     same key and load time. ``dedupe`` also reduces the feeds that are otherwise
@@ -138,17 +138,27 @@ class Pipeline:
             "session_type", quality.accepted_values(sessions, "session_type", SESSION_TYPES)
         )
 
-    def write(self, root: str) -> dict[str, DataFrame]:
-        """Store all marts in order of dependence; later ones read the stored earlier ones."""
-        for name in MARTS:
-            path = f"{root}/{name}"
+    def keep(self, root: str, *names: str) -> Pipeline:
+        """Store relations under ``root``; what is built on them from now on reads them there.
+
+        Worth it for a relation that is costly to make and read more than once:
+        by several marts, or by the group-size checks of the ordered operators.
+        """
+        for name in names:
+            path, relation = f"{root}/{name}", getattr(self, name)
             if name in CLUSTERED:
-                stored = landing.write_clustered(
-                    getattr(self, name), path, cluster=CLUSTERED[name]
-                )
+                stored = landing.write_clustered(relation, path, cluster=CLUSTERED[name])
             else:
-                stored = landing.write_mart(getattr(self, name), path)
+                stored = landing.write_mart(relation, path)
             setattr(self, name, stored)
+        return self
+
+    def write(self, root: str) -> dict[str, DataFrame]:
+        """Store all marts in order of dependence; later ones read the stored earlier ones.
+
+        The deduplicated results are stored too, since two marts read them.
+        """
+        self.keep(root, "stg_results", *MARTS)
         return {name: getattr(self, name) for name in MARTS}
 
     def register_views(self, spark: SparkSession) -> None:
