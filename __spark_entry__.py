@@ -29,26 +29,43 @@ AS_OF = date(1998, 6, 15)
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
+# What is worth storing before a relation is built, because it is read more than once.
+LAPS, RESULTS = (["laps"], []), ([], ["stg_results"])
+RACES = ([], ["race_results"])
+KEPT = {
+    "driver_standings": RACES,
+    "final_standings": RACES,
+    "constructor_standings": RACES,
+    "lap_times": LAPS,
+    "tyre_strategy": LAPS,
+    "pit_stops": LAPS,
+    "pit_summary": LAPS,
+    "race_summary": RESULTS,
+    "circuit_stats": (["laps"], ["stg_results"]),
+}
+
+
+def _raw(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> fixtures.RawFeeds:
+    """The raw feeds over the given tables; ``keep`` names feeds to store first."""
+    feeds = fixtures.RawFeeds(spark, sf_dir)
+    return feeds.keep(scratch_path(spark, "raw"), *keep) if keep else feeds
+
+
 def pipeline(
-    spark: SparkSession, sf_dir: str, keep: Sequence[str] = (), **options
+    spark: SparkSession, sf_dir: str, raw: Sequence[str] = (), keep: Sequence[str] = (), **options
 ) -> Pipeline:
-    """The pipeline over the given tables; ``keep`` names relations to store on the way."""
-    made = fixtures.pipeline(spark, sf_dir, **options)
+    """The pipeline over the raw feeds; ``raw`` and ``keep`` are stored on the way."""
+    made = fixtures.pipeline(_raw(spark, sf_dir, raw), **options)
     return made.keep(scratch_path(spark, "kept"), *keep) if keep else made
 
 
-# Relations worth storing before the one named is built: they are read more than once.
-KEPT = {
-    "driver_standings": ["race_results"],
-    "final_standings": ["race_results"],
-    "constructor_standings": ["race_results"],
-    "race_summary": ["stg_results"],
-    "circuit_stats": ["stg_results"],
-}
+def _made(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    raw, keep = KEPT.get(name, ([], []))
+    return getattr(pipeline(spark, sf_dir, raw, keep, **options), name)
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> fixtures.RawFeeds:
-    return fixtures.RawFeeds(spark, sf_dir)
+def _relation(name: str, **options) -> Query:
+    return lambda spark, sf_dir: _made(spark, sf_dir, name, **options)
 
 
 def _local_time(df: DataFrame) -> DataFrame:
@@ -58,14 +75,6 @@ def _local_time(df: DataFrame) -> DataFrame:
     return df.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
-def _made(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
-    return getattr(pipeline(spark, sf_dir, KEPT.get(name, ()), **options), name)
-
-
-def _relation(name: str, **options) -> Query:
-    return lambda spark, sf_dir: _made(spark, sf_dir, name, **options)
-
-
 def _shaped(feed: str) -> Query:
     return lambda spark, sf_dir: _raw(spark, sf_dir)[feed].select(*RAW[feed].names)
 
@@ -192,7 +201,7 @@ def latest_weekend_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_pit_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill where the first round of every season has its pit stops already."""
-    raw = _raw(spark, sf_dir)
+    raw = _raw(spark, sf_dir, ["laps"])
     existing = raw.pit_stops.filter(
         F.split_part("session_id", F.lit("_"), F.lit(2)) == "1"
     )
@@ -225,7 +234,7 @@ def dq_missing_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_reconcile_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standings against the points of all loads, with one point per qualifying to adjust."""
-    made = pipeline(spark, sf_dir, ["stg_results", "race_results"])
+    made = pipeline(spark, sf_dir, keep=["stg_results", "race_results"])
     keys = ["season", "abbreviation"]
     adjustments = made.qualifying_results.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("adjustment_points")
@@ -238,7 +247,7 @@ def dq_reconcile_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_season_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = pipeline(spark, sf_dir, ["stg_results"], as_of=AS_OF)
+    made = pipeline(spark, sf_dir, ["laps"], ["stg_results"], as_of=AS_OF)
     names = ["race_results", "qualifying_results", "lap_times", "season_calendar"]
     return quality.season_coverage({name: getattr(made, name) for name in names})
 
@@ -248,7 +257,7 @@ def _report(report: Callable[..., DataFrame], mart: str) -> Query:
 
 
 def report_clean_pace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.clean_pace(pipeline(spark, sf_dir, ["lap_times"]).lap_times)
+    return reports.clean_pace(pipeline(spark, sf_dir, ["laps"], ["lap_times"]).lap_times)
 
 
 def _on(name: str, run: Callable[[DataFrame], DataFrame]) -> Query:

@@ -136,8 +136,8 @@ def test_pipeline_over_stored_raw_tables(spark, feeds):
 
 
 def test_written_marts_equal_the_lazy_ones(spark, small_dir):
-    lazy = fixtures.pipeline(spark, small_dir)
-    stored = fixtures.pipeline(spark, small_dir).keep(scratch_path(spark, "kept"), "lap_times", "tyre_strategy")
+    lazy = fixtures.pipeline(fixtures.RawFeeds(spark, small_dir))
+    stored = fixtures.pipeline(fixtures.RawFeeds(spark, small_dir)).keep(scratch_path(spark, "kept"), "lap_times", "tyre_strategy")
     for name in ("lap_times", "tyre_strategy"):
         left, right = getattr(lazy, name), getattr(stored, name)
         assert left.columns == right.columns

@@ -29,7 +29,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def made(spark, small_dir):
-    return fixtures.pipeline(spark, small_dir)
+    return fixtures.pipeline(fixtures.RawFeeds(spark, small_dir))
 
 
 def test_latest_row_is_limited_before_the_shuffle(spark):

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackside.functions import build_session_id
-from trackside.operators import next_row_lookup, sequence_within
+from trackside.operators import next_row_lookup
+from trackside.operators.ordered import running_total_in_blocks
 from trackside.operators.skew import split_by_size
 from trackside.plans.pipeline import Pipeline
 from trackside.sources import shaping
+from trackside.sources.landing import write_mart
 
 NANOS = 1_000_000_000
 RESULT_TIES = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -166,7 +168,8 @@ class Sources:
             ).withColumn("prev_in", F.lag("pit_in").over(by_time))
 
         def stepwise(part: DataFrame, blocks: int) -> DataFrame:
-            numbered = sequence_within(part, keys, order, "n")
+            one = F.lit(1).cast("bigint")
+            numbered = running_total_in_blocks(part, one, keys, order, "n", blocks)
             return next_row_lookup(numbered, numbered, keys, "n", {"pit_in": "prev_in"}, step=-1)
 
         seconds = F.floor(F.col("value") * 8) / 8
@@ -224,6 +227,12 @@ class RawFeeds:
     def __getitem__(self, feed: str) -> DataFrame:
         return getattr(self, feed)
 
+    def keep(self, root: str, *feeds: str) -> RawFeeds:
+        """Store feeds that are read several times, as a load would have."""
+        for feed in feeds:
+            setattr(self, feed, write_mart(getattr(self, feed), f"{root}/raw_{feed}"))
+        return self
+
     @cached_property
     def sessions(self) -> DataFrame:
         return shaping.shape_sessions(self.sources.events)
@@ -255,6 +264,6 @@ class RawFeeds:
         return shaping.shape_circuits(self.sources.events, carry=[sid])
 
 
-def pipeline(spark: SparkSession, sf_dir: str, **options) -> Pipeline:
+def pipeline(raw: RawFeeds, **options) -> Pipeline:
     ties = {"results": RESULT_TIES, "drivers": RESULT_TIES, "circuits": ["session_id"]}
-    return Pipeline(RawFeeds(spark, sf_dir), tiebreaks=ties, **options)
+    return Pipeline(raw, tiebreaks=ties, **options)

@@ -23,7 +23,7 @@ from trackside.operators.skew import (
 )
 
 
-def _running_in_blocks(
+def running_total_in_blocks(
     df: DataFrame, value: Column, keys: Sequence[str], order: Order, out: str, blocks: int
 ) -> DataFrame:
     """Total within the row's block plus the totals of the group's earlier blocks."""
@@ -71,7 +71,7 @@ def running_total(
         return part.withColumn(out, F.sum(value).over(frame))
 
     def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        return _running_in_blocks(part, value, keys, order, out, blocks)
+        return running_total_in_blocks(part, value, keys, order, out, blocks)
 
     return split_by_size(df, keys, window, blockwise, limit)
 
@@ -86,7 +86,7 @@ def sequence_within(
         return part.withColumn(out, number.cast("bigint"))
 
     def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        return _running_in_blocks(part, F.lit(1).cast("bigint"), keys, order, out, blocks)
+        return running_total_in_blocks(part, F.lit(1).cast("bigint"), keys, order, out, blocks)
 
     return split_by_size(df, keys, window, blockwise, limit)
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.session import scratch_root
+from trackside.session import settled
 
 LIMIT_SETTING = "spark.trackside.maxGroupRows"
 # A window partition of this many narrow rows sorts in a few hundred MB and may spill.
@@ -67,9 +67,8 @@ def split_by_size(
     groups, rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if groups == 0:
         return small(df)
-    scratch_root(spark)
     # At most (all rows / limit) keys. Written once, so that both routes see the same list.
-    listed = prefixed(hot, keys, "_hot_").checkpoint()
+    listed = settled(prefixed(hot, keys, "_hot_"))
     match = same_keys(keys, "_hot_")
     # Blocks of half the limit on average; the shuffle width is the floor.
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // limit))
@@ -82,14 +81,12 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Order, blocks: int) ->
     """Cut every group into blocks that follow one another in ``order``.
 
     Adds ``_seq``, which makes the order total, and ``_block``, which rises with
-    it. Both are written to the checkpoint folder before use: row numbering and
+    it. Both are written to the shared folder before use: row numbering and
     sampled range bounds may come out differently when a lost task is run again,
     and a total must be taken over the same blocks as the rows it is added to.
     """
-    scratch_root(df.sparkSession)
-    numbered = df.withColumn(SEQ, F.monotonically_increasing_id()).checkpoint()
-    return (
+    numbered = settled(df.withColumn(SEQ, F.monotonically_increasing_id()))
+    return settled(
         numbered.repartitionByRange(blocks, *keys, *order, SEQ)
         .withColumn(BLOCK, F.spark_partition_id())
-        .checkpoint()
     )
