@@ -133,6 +133,32 @@ def rank_within(
     return split_by_size(df, keys, window, blockwise, limit)
 
 
+def _quantile_by_counts(
+    df: DataFrame, value: str, keys: Sequence[str], out: str, p: float, limit: int | None
+) -> DataFrame:
+    """Pick the two neighbouring values by their position among the counted distinct values."""
+    filled = F.when(F.col(value).isNotNull(), F.count(F.lit(1))).otherwise(0)
+    counts = df.groupBy(*keys, value).agg(filled.alias("_rows"))
+    through = running_total(counts, "_rows", keys, [value], "_through", limit)
+    sizes = prefixed(
+        counts.groupBy(*keys).agg(F.sum("_rows").alias("_size")), keys, "_q_", "_size"
+    )
+    position = (F.col("_size") - 1) * F.lit(float(p))
+    low, high = F.floor(position), F.ceil(position)
+    reached = F.when(F.col("_rows") > 0, F.col(value))
+    neighbours = (
+        through.join(sizes, same_keys(keys, "_q_"))
+        .groupBy(*keys, "_size")
+        .agg(
+            F.min(F.when(F.col("_through") > low, reached)).alias("_low"),
+            F.min(F.when(F.col("_through") > high, reached)).alias("_high"),
+        )
+    )
+    weighted = (high - position) * F.col("_low") + (position - low) * F.col("_high")
+    exact = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(weighted)
+    return neighbours.select(*keys, exact.alias(out))
+
+
 def group_quantile(
     df: DataFrame,
     value: str,
@@ -146,32 +172,10 @@ def group_quantile(
     def aggregate(part: DataFrame) -> DataFrame:
         return part.groupBy(*keys).agg(F.percentile(value, p).alias(out))
 
-    def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        # Select the two neighbouring values by position among the counted distinct values.
-        counts = (
-            part.groupBy(*keys, value)
-            .agg(F.when(F.col(value).isNotNull(), F.count(F.lit(1))).otherwise(0).alias("_rows"))
-        )
-        through = running_total(counts, "_rows", keys, [value], "_through", limit)
-        sizes = prefixed(
-            counts.groupBy(*keys).agg(F.sum("_rows").alias("_size")), keys, "_q_", "_size"
-        )
-        position = (F.col("_size") - 1) * F.lit(float(p))
-        low, high = F.floor(position), F.ceil(position)
-        reached = F.when(F.col("_rows") > 0, F.col(value))
-        neighbours = (
-            through.join(sizes, same_keys(keys, "_q_"))
-            .groupBy(*keys, "_size")
-            .agg(
-                F.min(F.when(F.col("_through") > low, reached)).alias("_low"),
-                F.min(F.when(F.col("_through") > high, reached)).alias("_high"),
-            )
-        )
-        weighted = (high - position) * F.col("_low") + (position - low) * F.col("_high")
-        exact = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(weighted)
-        return neighbours.select(*keys, exact.alias(out))
+    def counted(part: DataFrame, blocks: int) -> DataFrame:
+        return _quantile_by_counts(part, value, keys, out, p, limit)
 
-    return split_by_size(df, keys, aggregate, blockwise, limit)
+    return split_by_size(df, keys, aggregate, counted, limit)
 
 
 def delta_to_median(
@@ -189,7 +193,7 @@ def delta_to_median(
         return part.withColumn(out, F.col(value) - middle)
 
     def blockwise(part: DataFrame, blocks: int) -> DataFrame:
-        middle = group_quantile(part, value, keys, "_middle", p, limit)
+        middle = _quantile_by_counts(part, value, keys, "_middle", p, limit)
         return (
             part.join(prefixed(middle, keys, "_m_", "_middle"), same_keys(keys, "_m_"))
             .withColumn(out, F.col(value) - F.col("_middle"))
