@@ -239,7 +239,7 @@ def dq_reconcile_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     adjustments = made.qualifying_results.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("adjustment_points")
     )
-    lines = fixtures.Sources(spark, sf_dir)._lines
+    lines = fixtures.Sources(spark, sf_dir).lines
     official = lines.groupBy(
         "season", F.concat(F.lit("D"), F.col("drv").cast("string")).alias("abbreviation")
     ).agg(F.sum("l_quantity").alias("official_points"))

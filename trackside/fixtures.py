@@ -64,7 +64,8 @@ class Sources:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def _lines(self) -> DataFrame:
+    def lines(self) -> DataFrame:
+        """Order lines with the season, round, session type, driver and team they stand for."""
         month = F.month("l_shipdate")
         driver = F.col("l_suppkey") % 20
         return (
@@ -88,7 +89,7 @@ class Sources:
         )
         # Few rows per session are left before the join.
         return (
-            self._lines.groupBy("season", "round_number", "session_type")
+            self.lines.groupBy("season", "round_number", "session_type")
             .agg(
                 F.min(F.date_trunc("month", "l_shipdate")).alias("first"),
                 F.max("l_shipdate").alias("loaded_at"),
@@ -114,7 +115,7 @@ class Sources:
     def results(self) -> DataFrame:
         key, place = F.col("l_orderkey"), 1 + F.col("l_partkey") % 20
         sid = build_session_id("season", "round_number", "session_type")
-        return self._lines.select(
+        return self.lines.select(
             F.when(key % 101 != 0, sid).alias("session_id"),
             "season",
             _text(F.col("drv")).alias("DriverNumber"),

@@ -53,8 +53,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path for a table in the shared folder."""
-    return f"{scratch_root(spark).rstrip('/')}/trackside-{uuid.uuid4().hex}/{name}"
+    """A new, unused path for a table in the shared folder.
+
+    Tables stay there, under one directory per application, until the folder is
+    cleared: a stored result may be read long after the call that made it.
+    """
+    root, app = scratch_root(spark).rstrip("/"), spark.sparkContext.applicationId
+    return f"{root}/trackside-{app}/{uuid.uuid4().hex}/{name}"
 
 
 def settled(df: DataFrame) -> DataFrame:
