@@ -23,6 +23,16 @@ from trackside.session import apply_settings, scratch_path  # noqa: E402
 from trackside.sources import landing, loading, shaping  # noqa: E402
 from trackside.streaming import incremental_session_append  # noqa: E402
 
+# The subpackage for text corpora and its pipeline are optional: without them the rest works.
+try:
+    import corpus_pipeline
+    from trackside.llm import queries as llm_queries
+    from trackside.llm import sql as llm_sql
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "trackside.llm"):
+        raise
+    corpus_pipeline = llm_queries = llm_sql = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = date(1998, 6, 15)
@@ -412,9 +422,17 @@ def queries() -> dict[str, Query]:
     def with_settings(run: Query) -> Query:
         return lambda spark, sf_dir: run(apply_settings(spark), sf_dir)
 
-    return {name: with_settings(run) for name, run in _all_queries().items()}
+    every = _all_queries()
+    if corpus_pipeline:
+        every |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return {name: with_settings(run) for name, run in every.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB statement for each query."""
-    return oracle.statements()
+    statements = oracle.statements()
+    if corpus_pipeline:
+        statements |= llm_sql.statements()
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
