@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import chat, exact_dedup, kd_shards
+from trackside.llm import chat, exact_dedup, kd_shards, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one more whose texts hold marks, read back from the formatted text."""
     extra = spark.sql(
@@ -63,5 +70,5 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op2_chat_formatting, op4_exact_dedup, op8_kd_sharding)
+        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op4_exact_dedup, op8_kd_sharding)
     }

@@ -4,6 +4,31 @@ from __future__ import annotations
 
 BLANKS = "[\\x20\\x09-\\x0D]"
 
+LINE_DEDUP = """
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as n
+  from documents
+),
+keyed as (
+  select doc_id, n, line,
+    translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+),
+repeated as (
+  select key, min(doc_id) as first from keyed where length(key) >= 10
+  group by key having count(distinct doc_id) > 1
+),
+judged as (
+  select k.*, r.first is null or r.first = k.doc_id as stays
+  from keyed k left join repeated r using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (not stays) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (stays), '')) as kept_sha256
+from judged group by doc_id
+"""
+
 CHAT = """
 with rows_ as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -39,4 +64,4 @@ from d window w as (partition by text_sha256 order by n desc, doc_id)
 
 
 def statements() -> dict[str, str]:
-    return {"op2_chat_formatting": CHAT, "op4_exact_dedup": EXACT_DEDUP}
+    return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT, "op4_exact_dedup": EXACT_DEDUP}
