@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import chat, exact_dedup, kd_shards, line_dedup
+from trackside.llm import chat, decontaminate, exact_dedup, kd_shards, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = kd_shards.kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return made.select(
@@ -70,5 +80,6 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op4_exact_dedup, op8_kd_sharding)
+        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op4_exact_dedup,
+                             op5_decontamination, op8_kd_sharding)
     }

@@ -50,6 +50,45 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(loss) as loss_char
 from joined
 """
 
+DECONTAMINATION = """
+with split as (
+  select 'd' as kind, doc_id as id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+  union all
+  select 'i', item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')
+  from benchmark
+),
+windows as (
+  select distinct id as item_id, least(len(w), 10) as size,
+    array_to_string(w[s:s + least(len(w), 10) - 1], ' ') as said
+  from split, unnest(generate_series(1, greatest(1, len(w) - 9))) as t(s)
+  where kind = 'i' and len(w) > 0
+),
+sizes as (select distinct size from windows),
+hits as (
+  select d.id, s.size, t.s as start, x.item_id
+  from split d, sizes s, unnest(generate_series(1, len(d.w) - s.size + 1)) as t(s), windows x
+  where d.kind = 'd' and x.size = s.size and x.said = array_to_string(d.w[t.s:t.s + s.size - 1], ' ')
+),
+covered as (
+  select id, count(distinct p) as n_hit
+  from hits, unnest(generate_series(start, start + size - 1)) as t(p) group by id
+),
+named as (
+  select id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct id, item_id::varchar as item from hits) group by id
+)
+select d.id as doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from split d left join covered c on c.id = d.id left join named n on n.id = d.id
+where d.kind = 'd'
+"""
+
 EXACT_DEDUP = f"""
 with d as (
   select doc_id, length(coalesce(text, '')) as n,
@@ -64,4 +103,5 @@ from d window w as (partition by text_sha256 order by n desc, doc_id)
 
 
 def statements() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT, "op4_exact_dedup": EXACT_DEDUP}
+    return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT, "op4_exact_dedup": EXACT_DEDUP,
+            "op5_decontamination": DECONTAMINATION}

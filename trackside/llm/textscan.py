@@ -118,7 +118,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = np.full(n, _STEPS[63] * np.uint64(size), np.uint64)
+    total = np.full(n, size, np.uint64) * _STEPS[63]
     for i in range(size):
         total += hashes[i : i + n] * _STEPS[i]
     return mixed(total)
