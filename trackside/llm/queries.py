@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import chat, decontaminate, exact_dedup, kd_shards, line_dedup
+from trackside.llm import chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = jaccard_join.near_duplicates(docs, size=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.verdicts(table(spark, sf_dir, "documents"))
     return found.select(
@@ -80,6 +86,6 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op4_exact_dedup,
+        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
                              op5_decontamination, op8_kd_sharding)
     }

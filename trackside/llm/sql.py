@@ -89,6 +89,42 @@ from split d left join covered c on c.id = d.id left join named n on n.id = d.id
 where d.kind = 'd'
 """
 
+JACCARD = """
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+),
+grams as (
+  select distinct doc_id, array_to_string(w[s:s + 3], ' ') as gram
+  from split, unnest(generate_series(1, greatest(1, len(w) - 3))) as t(s)
+  where len(w) > 0
+),
+sizes as (select doc_id, count(*) as n, md5(string_agg(gram, chr(10) order by gram)) as same
+  from grams group by doc_id),
+classes as (select same, min(doc_id) as class_id, any_value(n) as n from sizes group by same),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared
+  from grams a join grams b on a.gram = b.gram and a.doc_id < b.doc_id
+  where a.doc_id in (select class_id from classes) and b.doc_id in (select class_id from classes)
+  group by all
+),
+links as (
+  select a, b from common join classes x on x.class_id = a join classes y on y.class_id = b
+  where 100 * shared >= 85 * (x.n + y.n - shared)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select class_id as a, class_id as b from classes
+  union
+  select r.a, l.b from reach r join both_ways l on l.a = r.b
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles,
+  coalesce((select min(r.b) from reach r where r.a = c.class_id), d.doc_id) as component_id,
+  coalesce(c.class_id, d.doc_id) as class_id
+from split d left join sizes s using (doc_id) left join classes c using (same)
+"""
+
 EXACT_DEDUP = f"""
 with d as (
   select doc_id, length(coalesce(text, '')) as n,
@@ -103,5 +139,6 @@ from d window w as (partition by text_sha256 order by n desc, doc_id)
 
 
 def statements() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT, "op4_exact_dedup": EXACT_DEDUP,
+    return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT,
+            "op3_ngram_jaccard_join": JACCARD, "op4_exact_dedup": EXACT_DEDUP,
             "op5_decontamination": DECONTAMINATION}
