@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup
+from trackside.llm import (
+    chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup, packing, token_counts,
+)
+from trackside.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +79,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat token files, and every document's tokens by scanning them."""
+    path = scratch_path(spark, "token_files")
+    token_counts.write_token_files(table(spark, sf_dir, "documents"), path)
+    part = token_counts.part_number()
+    found = token_counts.scan_token_files(spark, f"{path}/kind=tokens").withColumn("part", part)
+    ids = token_counts.document_ids(spark, f"{path}/kind=ids").withColumn("part", part).drop("file")
+    return found.drop("file").join(ids, ["part", "ordinal"]).select(
+        F.col("id").alias("doc_id"), "n_tokens", "part", "ordinal", "start"
+    )
+
+
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = kd_shards.kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return made.select(
@@ -84,8 +99,15 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return made.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens",
+                       "sequence_id", "offset")
+
+
 def queries() -> dict[str, Query]:
-    return {
-        f.__name__: f for f in (op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
-                             op5_decontamination, op8_kd_sharding)
-    }
+    every = (
+        op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
+        op5_decontamination, op7_token_counts, op8_kd_sharding, op9_packing,
+    )
+    return {f.__name__: f for f in every}
