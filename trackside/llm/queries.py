@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.llm import (
-    chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup, packing, token_counts,
+    chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup, packing, secrets,
+    token_counts,
 )
 from trackside.session import scratch_path
 
@@ -105,9 +106,32 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "sequence_id", "offset")
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One increment of an empty ledger: every blob is new, and scanned once."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan_versions(docs, ledger=scratch_path(spark, "ledger"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+        )), ",")
+
+    names = [rule.name for rule in secrets.RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(names))
+    counts = [F.size(F.filter("spans", _of_kind(n))).cast("bigint").alias(f"n_{n}") for n in names]
+    return found.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def _of_kind(name: str) -> Callable[[Column], Column]:
+    return lambda s: s["kind"] == name
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
-        op5_decontamination, op7_token_counts, op8_kd_sharding, op9_packing,
+        op5_decontamination, op7_token_counts, op8_kd_sharding, op9_packing, op10_secret_scans,
     )
     return {f.__name__: f for f in every}
