@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackside.llm import (
     chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup, packing, secrets,
-    token_counts,
+    token_counts, toxicity,
 )
 from trackside.session import scratch_path
 
@@ -80,6 +80,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model that saw none of the held-out labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    score = toxicity.scores(docs, toxicity.train(docs, labels))
+    return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as flat token files, and every document's tokens by scanning them."""
     path = scratch_path(spark, "token_files")
@@ -132,6 +143,6 @@ def _of_kind(name: str) -> Callable[[Column], Column]:
 def queries() -> dict[str, Query]:
     every = (
         op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
-        op5_decontamination, op7_token_counts, op8_kd_sharding, op9_packing, op10_secret_scans,
+        op5_decontamination, op6_toxicity, op7_token_counts, op8_kd_sharding, op9_packing, op10_secret_scans,
     )
     return {f.__name__: f for f in every}
