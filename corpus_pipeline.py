@@ -1,14 +1,73 @@
-"""The corpus pipeline: stages that are applied to the documents one after another."""
+"""The corpus pipeline: five stages from raw documents to packed training sequences."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackside.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
+from trackside.llm.store import keep
+
+#: Documents with this score or a higher one go.
+TOXIC = 0.7
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold; the model learns from all labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    return docs.filter(toxicity.scores(docs, model) < TOXIC)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier document holds; a text may end up empty.
+
+    A column ``n_chars`` follows the text.
+    """
+    cleaned = line_dedup.drop_repeated_lines(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
+    return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words, similarity 0.8."""
+    return jaccard_join.survivors(docs, size=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of any benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    clean = decontaminate.benchmark_hits(docs, benchmark).filter("n_hit = 0")
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the training sequences."""
+    packed = packing.pack_documents(docs)
+    return packed.withColumnRenamed("id", "doc_id")
+
 
-STAGES = []
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
+#: The score of the first stage and the packing cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each stored and read again before the next."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each stored and read again as the next one's documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    return docs

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trackside.llm import filters, tables, textscan
 from trackside.llm.components import components
 from trackside.llm.groups import attach
-from trackside.llm.store import keep
+from trackside.llm.store import keep, packed, unpacked
 
 #: Cells in which n-grams are counted; their number does not depend on the corpus.
 CELLS = 1 << 20
@@ -204,13 +204,14 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
     percent: int = 80,
 ) -> DataFrame:
-    """One row for each document: ``id, n_shingles, class_id, component_id, n_links``.
+    """One row for each document: ``id, row, n_shingles, class_id, component_id, kept``.
 
     Words are what stands between blanks, A-Z lower-cased; a document's set is its distinct runs of
     ``size`` words, one of all its words if it has fewer, empty without words. Two documents
     link when ``100 * |intersection| >= percent * |union|``; an empty set links with nothing.
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest
-    id that links reach, the own one included.
+    id that links reach, the own one included; ``kept`` marks one row of each component, its
+    first. ``docs`` is read more than once and should be a stored table; ``row`` numbers its rows.
 
     n-grams are counted over all documents in a table of fixed size, whose classes put rare
     ones first; any such order gives the same result, a good one short lists. Equal sets are
@@ -251,30 +252,54 @@ def near_duplicates(
     named = classes.select("rep", "class_id").join(
         found.withColumnRenamed("node", "rep"), "rep"
     )
+    first = F.struct(F.col("class_id").isNull(), "class_id", "rep")
     smallest = keep(
         named.groupBy("component").agg(
-            F.min("class_id").alias("component_id"), F.count(F.lit(1)).alias("classes")
+            F.min(first).alias("first"), F.count(F.lit(1)).alias("classes")
         ),
         "smallest",
     )
     joined = attach(
         keep(named, "named"), smallest, "component", "classes", max(1, classes.count())
-    ).select("rep", "component_id")
+    ).select("rep", "first")
     verdict = keep(
-        classes.join(joined, "rep", "left").select(
-            "digest", "members", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
+        classes.join(joined, "rep", "left")
+        .withColumn("first", F.coalesce("first", first)).select(
+            "digest", "members", "class_id", F.col("first.class_id").alias("component_id"),
+            F.col("first.rep").alias("first_row"),
         ),
         "verdicts",
     )
     alone = signed.filter("n = 0").select(
-        "id", "n", F.col("id").alias("class_id"), F.col("id").alias("component_id")
+        "id", "row", "n", F.col("id").alias("class_id"), F.col("id").alias("component_id"),
+        F.lit(True).alias("kept"),
     )
-    grouped = attach(signed.filter("n > 0").select("id", "n", "digest"), verdict, "digest", "members", total)
-    return grouped.select("id", "n", "class_id", "component_id").unionByName(alone).select(
-        "id", F.col("n").cast("bigint").alias("n_shingles"), "class_id", "component_id"
+    grouped = attach(
+        signed.filter("n > 0").select("id", "row", "n", "digest"), verdict, "digest", "members", total
+    ).select("id", "row", "n", "class_id", "component_id", (F.col("row") == F.col("first_row")).alias("kept"))
+    return grouped.unionByName(alone).select(
+        "id", "row", F.col("n").cast("bigint").alias("n_shingles"), "class_id", "component_id", "kept"
     )
 
 
+def survivors(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """One document of each component, the first, with all its columns; empty sets all stay.
+
+    Texts stay where they are, but for those that a filter of the dropped rows holds back to check.
+    """
+    judged = near_duplicates(docs, id_col, text_col, size, percent)
+    dropped = keep(judged.filter("not kept").select(F.col("row").alias("__gone")), "dropped")
+    blocks = filters.blocks_for(dropped.count())
+    bloom = filters.seen(dropped, "__gone", blocks)
+    rows = packed(docs, __row_id=F.monotonically_increasing_id())
+    marked = filters.flagged(rows, bloom, F.col("__row_id"), blocks, "__maybe")
+    unsure = marked.filter("__maybe").join(dropped, F.col("__row_id") == F.col("__gone"), "left_anti")
+    return unpacked(marked.filter("not __maybe").unionByName(unsure))
+
+
 def _links(
     spark: SparkSession, rows: DataFrame, reps: DataFrame, size: int, percent: int,
     rarity: np.ndarray,
