@@ -91,7 +91,7 @@ class Index:
 
     def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, token number) wherever a prefix token stands."""
-        at, token = [], []
+        at, token = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for size in self.sizes:
             found = textscan.shingles(hashes, size)
             near = np.flatnonzero(self.coarse[(found >> np.uint64(48)).astype(np.int64)])

@@ -23,7 +23,8 @@ FINDINGS = f"blob binary, rule string, version int, spans {SPANS}"
 class Rule:
     """A kind of secret. A change of pattern or length needs a new ``version``.
 
-    ``hints``: lower-case strings of which a text with a match has one at least. ``group`` is what must have ``least`` characters.
+    ``group`` must have ``least`` characters. Of ``hints``, lower-case strings, a text with a match
+    has one at least, and in it ``needs`` is found: both only save time.
     """
 
     name: str
@@ -32,6 +33,7 @@ class Rule:
     group: int
     least: int
     hints: tuple[str, ...] = ()
+    needs: str = ""
 
 
 #: The base rules, in the order of their names in reports. Fixed values.
@@ -42,16 +44,15 @@ RULES = (
         2, 8, ("passw", "secret", "token", "api"),
     ),
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 16, ("akia",)),
-    Rule("hex", 1, r"[0-9a-f]+", 0, 32),
+    Rule("hex", 1, r"[0-9a-f]+", 0, 32, needs=r"[0-9a-f]{32}"),
 )
-_LONG_HEX = re.compile(r"[0-9a-f]{32}")
 
 
 def scan(text: str, rule: Rule, pattern: re.Pattern[str], low: str) -> list[tuple[int, int]]:
     """The matches of a rule in a text: leftmost, not overlapping, long enough; code points."""
     if rule.hints and not any(hint in low for hint in rule.hints):
         return []
-    if rule.name == "hex" and not _LONG_HEX.search(text):
+    if rule.needs and not re.search(rule.needs, text):
         return []
     return [
         m.span() for m in pattern.finditer(text) if len(m.group(rule.group)) >= rule.least
