@@ -16,7 +16,7 @@ import oracle  # noqa: E402
 from trackside import fixtures, operators  # noqa: E402
 from trackside.functions import build_session_id  # noqa: E402
 from trackside.operators import quality  # noqa: E402
-from trackside.plans import reports  # noqa: E402
+from trackside.plans import marts, reports  # noqa: E402
 from trackside.plans.pipeline import Pipeline  # noqa: E402
 from trackside.schemas import NATURAL_KEYS, RAW, SOURCE  # noqa: E402
 from trackside.session import apply_settings, scratch_path  # noqa: E402
@@ -215,9 +215,7 @@ def backfill_pit_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing = raw.pit_stops.filter(
         F.split_part("session_id", F.lit("_"), F.lit(2)) == "1"
     )
-    return loading.pit_stop_backfill(
-        raw.sessions, raw.laps.filter("lap_number is not null"), existing
-    )
+    return loading.pit_stop_backfill(raw.sessions, raw.laps, existing)
 
 
 def lap_times_season_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +227,7 @@ def lap_times_season_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pit_lane_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.pit_lane_time(_raw(spark, sf_dir).laps.filter("lap_number is not null"))
+    return shaping.pit_lane_time(_raw(spark, sf_dir).laps)
 
 
 def _check(check: Callable[[fixtures.RawFeeds], DataFrame]) -> Query:
@@ -282,11 +280,12 @@ def orders_latest_per_customer(orders: DataFrame) -> DataFrame:
     )
 
 
-def events_running_errors(events: DataFrame) -> DataFrame:
+def events_running_errors(events: DataFrame, unit: str | None = None) -> DataFrame:
+    """Errors so far of each user; ``unit`` of time cuts a user's events into blocks."""
     error = F.when(F.col("event_type") == "error", 1).otherwise(0).cast("bigint")
     return operators.running_total(
         events.select("event_id", "user_id", "ts", "event_type"), error, ["user_id"],
-        ["ts", "event_id"], "errors_so_far",
+        ["ts", "event_id"], "errors_so_far", F.date_trunc(unit, "ts") if unit else None,
     ).drop("event_type")
 
 
@@ -309,20 +308,30 @@ def events_sequence(events: DataFrame) -> DataFrame:
     ).drop("ts")
 
 
-def orders_rank_by_priority(orders: DataFrame) -> DataFrame:
+def orders_rank_by_priority(orders: DataFrame, step: int | None = None) -> DataFrame:
+    """Rank by price; ``step`` of price cuts a priority's orders into blocks."""
     return operators.rank_within(
         orders.select("o_orderkey", "o_orderpriority", "o_totalprice"),
         ["o_orderpriority"], "o_totalprice", "price_rank",
+        -F.floor(F.col("o_totalprice") / step) if step else None,
     )
 
 
-def lines_delta_to_median(lines: DataFrame) -> DataFrame:
+def lines_delta_to_median(lines: DataFrame, step: int | None = None) -> DataFrame:
+    """Quantity against the supplier's median; ``step`` of quantity makes blocks."""
     return operators.delta_to_median(
         lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"),
         "l_quantity", ["l_suppkey"], "delta_to_median",
+        block=F.floor(F.col("l_quantity") / step) if step else None,
     )
 
 
+def lap_times_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lap-time mart with blocks of a quarter of a second."""
+    made = pipeline(spark, sf_dir, ["laps"])
+    return marts.lap_times(made.stg_laps, made.stg_sessions, 0.25)
+
+
 def lines_next_line(lines: DataFrame) -> DataFrame:
     narrow = lines.select("l_orderkey", "l_linenumber", "l_partkey")
     return operators.next_row_lookup(
@@ -411,6 +420,14 @@ def _all_queries() -> dict[str, Query]:
         "events_sequence": _on("events", events_sequence),
         "orders_rank_by_priority": _on("orders", orders_rank_by_priority),
         "lines_delta_to_median": _on("lineitem", lines_delta_to_median),
+        "events_running_errors_blocks": _on(
+            "events", lambda events: events_running_errors(events, "hour")
+        ),
+        "orders_rank_blocks": _on("orders", lambda orders: orders_rank_by_priority(orders, 1000)),
+        "lines_delta_to_median_blocks": _on(
+            "lineitem", lambda lines: lines_delta_to_median(lines, 3)
+        ),
+        "lap_times_blocks": lap_times_blocks,
         "lines_next_line": _on("lineitem", lines_next_line),
         "orders_without_lines": orders_without_lines,
     }

@@ -41,11 +41,11 @@ _relation("li", """
   select l.*, cast(year(l_shipdate) as bigint) as season,
          cast(month(l_shipdate) as bigint) as round_number,
          if(l_linestatus = 'F', 'R', 'Q') as session_type,
-         l_suppkey % 20 as drv,
-         (l_suppkey % 20 + if(month(l_shipdate) > 6, 1, 0)) % 10 as tm,
+         d.drv, (d.drv + if(month(l_shipdate) > 6, 1, 0)) % 10 as tm,
          year(l_shipdate) || '_' || month(l_shipdate) || '_' || if(l_linestatus = 'F', 'R', 'Q') as sid
-  from lineitem l
-  where not (l_suppkey % 20 = 3 and month(l_shipdate) > 8)""")
+  from lineitem l,
+    lateral (select case when l.l_suppkey % 20 = 3 and month(l.l_shipdate) > 8 then 4
+                         else l.l_suppkey % 20 end as drv) d""")
 
 _relation("raw_sessions", """
   select sid as session_id, season, round_number, n_name as country, n_name as location,
@@ -105,12 +105,12 @@ _relation("raw_laps", """
 
 _relation("raw_pit_stops", """
   select session_id, driver_number, abbreviation,
-         (select count(*) from raw_laps e
-          where e.session_id = l.session_id and e.driver_number = l.driver_number
-            and e.pit_in_time_seconds is not null and e.lap_number <= l.lap_number) as stop_number,
+         rank() over (partition by session_id, driver_number
+                      order by lap_number nulls last, pit_in_time_seconds,
+                               pit_out_time_seconds nulls last, loaded_at) as stop_number,
          lap_number, pit_out_time_seconds - pit_in_time_seconds as pit_duration_seconds, loaded_at
-  from raw_laps l
-  where pit_in_time_seconds is not null and lap_number is not null""")
+  from raw_laps
+  where pit_in_time_seconds is not null""")
 
 _relation("raw_weather", """
   select session_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as "timestamp",
@@ -274,26 +274,33 @@ _relation("season_calendar", """
          if(session_date < date '1998-06-15', 'completed', 'upcoming') as race_status
   from stg_sessions where session_type = 'R'""")
 
+_relation("firsts", """
+  select season, round_number, race_name, country, location, abbreviation as winner, null as pole
+  from race_results where finish_position = 1
+  union all
+  select season, round_number, null, null, null, null, abbreviation
+  from qualifying_results where qualifying_position = 1
+  union all
+  select distinct season, round_number, race_name, country, location, null, null from race_results""")
+
 _relation("race_summary", """
-  select season, round_number, race_name, country, location,
-         max(r.abbreviation) filter (r.finish_position = 1) as race_winner,
-         max(q.abbreviation) as pole_sitter
-  from race_results r
-  left join (select season, round_number, abbreviation from qualifying_results
-             where qualifying_position = 1) q using (season, round_number)
-  group by all""")
+  select season, round_number, any_value(race_name) as race_name, any_value(country) as country,
+         any_value(location) as location, max(winner) as race_winner, max(pole) as pole_sitter
+  from firsts group by season, round_number having count(location) > 0""")
 
 _relation("pit_summary", """
-  select season, round_number, count(*) / count(distinct abbreviation) as avg_stops_per_driver
-  from pit_stops group by all""")
+  select season, round_number, sum(n) / count(*) as avg_stops_per_driver
+  from (select season, round_number, abbreviation, count(*) as n from pit_stops group by all)
+  group by season, round_number""")
 
 _relation("circuit_stats", """
-  select location, country, count(distinct season || '_' || round_number) as races_held,
-         cast(sum(case when race_winner = pole_sitter then 1 else 0 end) as bigint) as pole_to_win_count,
-         round(sum(case when race_winner = pole_sitter then 1 else 0 end) / count(*) * 100, 1) as pole_to_win_pct,
-         round(avg(avg_stops_per_driver), 2) as avg_pit_stops_per_driver
-  from race_summary left join pit_summary using (season, round_number)
-  group by all""")
+  select s.location, s.country, count(*) as races_held,
+         count(*) filter (s.race_winner = s.pole_sitter) as pole_to_win_count,
+         round(count(*) filter (s.race_winner = s.pole_sitter) / count(*) * 100, 1) as pole_to_win_pct,
+         round(avg((select p.avg_stops_per_driver from pit_summary p
+                    where p.season = s.season and p.round_number = s.round_number)), 2)
+           as avg_pit_stops_per_driver
+  from race_summary s group by s.location, s.country""")
 
 # --- worklists and checks --------------------------------------------------
 
@@ -406,7 +413,7 @@ STATEMENTS: dict[str, str] = {
       from raw_laps l
       left join raw_laps n on n.session_id = l.session_id and n.driver_number = l.driver_number
                           and n.lap_number = l.lap_number + 1
-      where l.pit_in_time_seconds is not null and l.lap_number is not null""",
+      where l.pit_in_time_seconds is not null""",
     **{name: f"select * from {name}" for name in (
         "stg_sessions", "stg_results", "stg_laps", "stg_pit_stops", "stg_weather", "stg_drivers",
         "stg_circuits", "race_results", "qualifying_results", "driver_standings",
@@ -554,5 +561,14 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+for _blocks, _plain in {
+    "events_running_errors_blocks": "events_running_errors",
+    "orders_rank_blocks": "orders_rank_by_priority",
+    "lines_delta_to_median_blocks": "lines_delta_to_median",
+    "lap_times_blocks": "lap_times",
+}.items():
+    STATEMENTS[_blocks] = STATEMENTS[_plain]
+
+
 def statements() -> dict[str, str]:
     return {name: query(sql) for name, sql in STATEMENTS.items()}

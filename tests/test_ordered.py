@@ -1,4 +1,4 @@
-"""Window form and block form must agree; small limits force the block form."""
+"""Window form and block form must agree, however the groups are cut."""
 
 from __future__ import annotations
 
@@ -19,7 +19,6 @@ from trackside.operators import (
     running_total,
     sequence_within,
 )
-from trackside.operators.skew import LIMIT_SETTING
 
 SCHEMA = "id bigint, k string, j bigint, pos bigint, v double, flag boolean"
 
@@ -46,31 +45,65 @@ def _set(df):
 
 
 KEYS, ORDER = ["k", "j"], ["pos", "id"]
-UNLIMITED, TINY = 10_000, 7
 
 
-@pytest.mark.parametrize("limit", [TINY, 60])
+def _positions(size):
+    return F.floor(F.col("pos") / size)
+
+
+def _values(size):
+    return F.floor(F.col("v") / size)
+
+
+def _falling(size):
+    """Blocks that rise as the value falls, NULL last."""
+    return F.coalesce(-F.floor(F.col("v") / size), F.lit(10**9))
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
 @pytest.mark.parametrize(
-    "build",
+    ("build", "block"),
     [
-        lambda df, limit: running_total(df, "v", KEYS, ORDER, "out", limit),
-        lambda df, limit: running_total(
-            df, F.col("v") * 2, ["k"], [F.col("pos").desc(), "id"], "out", limit
-        ),
-        lambda df, limit: sequence_within(df, KEYS, ORDER, "out", limit),
-        lambda df, limit: islands(df, F.col("flag"), KEYS, ORDER, "out", limit),
-        lambda df, limit: rank_within(df, KEYS, "v", "out", limit),
-        lambda df, limit: delta_to_median(df, "v", KEYS, "out", limit=limit),
-        lambda df, limit: delta_to_median(df, "v", ["k"], "out", p=0.3, limit=limit),
-        lambda df, limit: group_quantile(df, "v", KEYS, "out", 0.5, limit),
-        lambda df, limit: group_quantile(df, "v", KEYS, "out", 1.0, limit),
+        (lambda df, block: running_total(df, "v", KEYS, ORDER, "out", block), _positions),
+        (lambda df, block: running_total(df, F.col("id") * 0.1, KEYS, ORDER, "out", block), _positions),
+        (lambda df, block: running_total(
+            df, F.col("id").cast("decimal(15,2)"), KEYS, ORDER, "out", block), _positions),
+        (lambda df, block: running_total(
+            df, F.col("v") * 2, ["k"], [F.col("pos").desc(), "id"], "out", block),
+         lambda size: -_positions(size)),
+        (lambda df, block: sequence_within(df, KEYS, ORDER, "out", block), _positions),
+        (lambda df, block: islands(df, F.col("flag"), KEYS, ORDER, "out", block), _positions),
+        (lambda df, block: rank_within(df, KEYS, "v", "out", block), _falling),
+        (lambda df, block: delta_to_median(df, "v", KEYS, "out", block=block), _values),
+        (lambda df, block: delta_to_median(df, "v", ["k"], "out", p=0.3, block=block), _values),
+        (lambda df, block: group_quantile(df, "v", KEYS, "out", 0.5, block), _values),
+        (lambda df, block: group_quantile(df, "v", KEYS, "out", 1.0, block), _values),
     ],
 )
-def test_block_form_equals_window_form(skewed, build, limit):
-    plain, split = build(skewed, UNLIMITED), build(skewed, limit)
-    assert split.columns == plain.columns
-    assert split.dtypes == plain.dtypes
-    assert _set(split) == _set(plain)
+def test_block_form_equals_window_form(skewed, build, block, size):
+    plain, cut = build(skewed, None), build(skewed, block(size))
+    assert cut.dtypes == plain.dtypes
+    assert _set(cut) == _set(plain)
+
+
+def test_types_and_values_are_those_of_exact_sums(spark):
+    df = spark.range(1, 41).select("id", (F.col("id") * 0.1).alias("x"),
+                                   F.col("id").cast("decimal(15,2)").alias("d"))
+    for block in (None, F.floor(F.col("id") / 3)):
+        real = running_total(df, "x", [], ["id"], "out", block)
+        assert real.schema["out"].dataType.simpleString() == "double"
+        assert [r.out for r in real.orderBy("id").collect()] == [
+            round(n * (n + 1) / 20, 10) for n in range(1, 41)
+        ]
+        money = running_total(df, "d", [], ["id"], "out", block)
+        assert money.schema["out"].dataType.simpleString() == "decimal(25,2)"
+
+
+def test_quantile_is_that_of_the_percentile_function(skewed):
+    for p in (0.0, 0.25, 0.5, 0.9):
+        own = {tuple(r)[:2]: r.out for r in group_quantile(skewed, "v", KEYS, "out", p, _values(5)).collect()}
+        theirs = skewed.groupBy(*KEYS).agg(F.percentile("v", p).alias("out"))
+        assert own == {tuple(r)[:2]: r.out for r in theirs.collect()}
 
 
 def test_running_total_against_plain_python(skewed):
@@ -80,28 +113,16 @@ def test_running_total_against_plain_python(skewed):
         if row.v is not None:
             totals[key] = totals.get(key, 0.0) + row.v
         expected[row.id] = totals.get(key)
-    result = running_total(skewed, "v", KEYS, ORDER, "out", TINY).collect()
+    result = running_total(skewed, "v", KEYS, ORDER, "out", _positions(7)).collect()
     assert {row.id: row.out for row in result} == expected
 
 
 def test_copies_of_one_row_are_all_kept_and_counted(spark):
     copies = spark.createDataFrame([("x", 1)] * 50 + [("y", 1)], "k string, pos bigint")
-    numbers = sequence_within(copies, ["k"], ["pos"], "n", limit=5)
+    numbers = sequence_within(copies, ["k"], ["pos"], "n", F.floor(F.col("pos") / 5))
     assert sorted(r.n for r in numbers.filter("k = 'x'").collect()) == list(range(1, 51))
 
 
-def test_limit_comes_from_the_session(spark, skewed):
-    spark.conf.set(LIMIT_SETTING, "5")
-    try:
-        split = sequence_within(skewed, KEYS, ORDER, "out")
-        assert "_block" in split._jdf.queryExecution().toString()
-    finally:
-        spark.conf.unset(LIMIT_SETTING)
-    plain = sequence_within(skewed, KEYS, ORDER, "out")
-    assert "_block" not in plain._jdf.queryExecution().toString()
-    assert _set(split) == _set(plain)
-
-
 def test_latest_by_key_is_idempotent_and_breaks_ties(spark):
     rows = [("a", 1, 5, "x"), ("a", 1, 5, "y"), ("a", 1, 4, "z"), (None, 1, 1, "n"), ("b", 2, None, "q")]
     df = spark.createDataFrame(rows, "k string, j int, at int, tie string")

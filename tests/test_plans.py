@@ -98,7 +98,7 @@ def test_marts_work_without_any_broadcast(spark, made):
     try:
         pits = marts.pit_stops(made.stg_pit_stops, made.stg_sessions, made.stg_laps)
         text = plan(pits)
-        assert "Broadcast" not in text and pits.count() == 199
+        assert "Broadcast" not in text and pits.count() == 201
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

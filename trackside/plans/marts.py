@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.operators import (
@@ -50,7 +50,7 @@ def qualifying_results(results: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def driver_standings(race: DataFrame, limit: int | None = None) -> DataFrame:
+def driver_standings(race: DataFrame) -> DataFrame:
     """Points so far and championship position after each round a driver took part in.
 
     Missing points count as none. Ties share a position.
@@ -63,14 +63,14 @@ def driver_standings(race: DataFrame, limit: int | None = None) -> DataFrame:
     )
     running = running_total(
         scored, "round_points", ["season", "abbreviation"],
-        ["round_number", "session_id", "driver_number"], "cumulative_points", limit,
+        ["round_number", "session_id", "driver_number"], "cumulative_points",
     ).drop("session_id", "driver_number")
     return rank_within(
-        running, ["season", "round_number"], "cumulative_points", "championship_position", limit
+        running, ["season", "round_number"], "cumulative_points", "championship_position"
     )
 
 
-def final_standings(standings: DataFrame, limit: int | None = None) -> DataFrame:
+def final_standings(standings: DataFrame) -> DataFrame:
     """Each driver's last row of the season, ranked; leavers keep their points."""
     last = latest_by_key(
         standings, ["season", "abbreviation"], ["round_number"],
@@ -80,24 +80,35 @@ def final_standings(standings: DataFrame, limit: int | None = None) -> DataFrame
         F.col("cumulative_points").alias("final_points"),
         F.col("round_number").alias("last_round_raced"),
     )
-    return rank_within(last, ["season"], "final_points", "final_championship_position", limit)
+    return rank_within(last, ["season"], "final_points", "final_championship_position")
 
 
-def constructor_standings(race: DataFrame, limit: int | None = None) -> DataFrame:
+def constructor_standings(race: DataFrame) -> DataFrame:
     """Team points per round, so far, and the position after each round."""
     per_round = race.groupBy(
         "season", "round_number", "race_name", "session_date", "team_name"
     ).agg(F.sum(F.coalesce("points", F.lit(0.0))).alias("team_points"))
     running = running_total(
         per_round, "team_points", ["season", "team_name"],
-        ["round_number", "race_name", "session_date"], "cumulative_points", limit,
+        ["round_number", "race_name", "session_date"], "cumulative_points",
     )
     return rank_within(
-        running, ["season", "round_number"], "cumulative_points", "constructor_position", limit
+        running, ["season", "round_number"], "cumulative_points", "constructor_position"
     )
 
 
-def lap_times(laps: DataFrame, sessions: DataFrame, limit: int | None = None) -> DataFrame:
+# Laps of a driver and race that meet in one task where a table of laps is worked on in order.
+LAPS_PER_BLOCK = 1000
+SECONDS_PER_BLOCK = 10
+
+
+def _lap_block(size: int = LAPS_PER_BLOCK) -> Column:
+    return F.floor(F.col("lap_number") / size)
+
+
+def lap_times(
+    laps: DataFrame, sessions: DataFrame, block_seconds: float = SECONDS_PER_BLOCK
+) -> DataFrame:
     """Race laps with a clean-lap flag and the gap to the driver's median lap of the race.
 
     An unknown track status leaves the flag NULL unless something else rules the
@@ -117,7 +128,7 @@ def lap_times(laps: DataFrame, sessions: DataFrame, limit: int | None = None) ->
     )
     return delta_to_median(
         joined, "lap_time_seconds", ["session_id", "abbreviation"], "delta_to_driver_median",
-        limit=limit,
+        block=F.floor(F.col("lap_time_seconds") / block_seconds),
     )
 
 
@@ -135,7 +146,9 @@ def pit_stops(stops: DataFrame, sessions: DataFrame, laps: DataFrame) -> DataFra
     )
 
 
-def tyre_strategy(laps: DataFrame, sessions: DataFrame, limit: int | None = None) -> DataFrame:
+def tyre_strategy(
+    laps: DataFrame, sessions: DataFrame, block_laps: int = LAPS_PER_BLOCK
+) -> DataFrame:
     """Stints per driver and race.
 
     A stint starts on lap 1 and on every pit-out lap. Laps without a known
@@ -155,7 +168,8 @@ def tyre_strategy(laps: DataFrame, sessions: DataFrame, limit: int | None = None
         known, (F.col("lap_number") == 1) | F.col("is_pit_out_lap"),
         ["session_id", "abbreviation"],
         # The lap decides; the rest only makes copies of a lap come in a fixed order.
-        ["lap_number", "is_pit_out_lap", "lap_time_seconds", "compound"], "stint_number", limit,
+        ["lap_number", "is_pit_out_lap", "lap_time_seconds", "compound"], "stint_number",
+        _lap_block(block_laps),
     )
     return numbered.groupBy(
         "season", "round_number", "race_name", "session_id", "abbreviation", "stint_number"

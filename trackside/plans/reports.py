@@ -60,23 +60,21 @@ def team_wins_dnfs(race: DataFrame, season: int | None = None) -> DataFrame:
     )
 
 
-def clean_pace(
-    laps: DataFrame, season: int | None = None, limit: int | None = None
-) -> DataFrame:
-    """Mean and median clean lap per driver and race."""
+def clean_pace(laps: DataFrame, season: int | None = None, block_seconds: float = 10) -> DataFrame:
+    """Mean and median clean lap per driver and race, from one grouping by lap time."""
     keys = ["season", "round_number", "session_id", "abbreviation"]
-    clean = _season(laps, season).filter("is_clean_lap")
-    means = clean.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("clean_laps"),
-        F.avg("lap_time_seconds").alias("avg_lap_time"),
-        F.min("lap_time_seconds").alias("best_lap_time"),
+    time, rows = F.col("lap_time_seconds"), F.col("_rows")
+    exact = time.cast("decimal(38,12)") * rows
+    paced = group_quantile(
+        _season(laps, season).filter("is_clean_lap"), "lap_time_seconds", keys, "median_lap_time",
+        block=F.floor(time / block_seconds),
+        others=[
+            F.sum("_rows").alias("clean_laps"),
+            (F.sum(exact).cast("double") / F.sum("_rows")).alias("avg_lap_time"),
+            F.min("lap_time_seconds").alias("best_lap_time"),
+        ],
     )
-    medians = group_quantile(clean, "lap_time_seconds", keys, "median_lap_time", limit=limit)
-    match = F.lit(True)
-    renamed = medians.select(*[F.col(k).alias(f"_{k}") for k in keys], "median_lap_time")
-    for key in keys:
-        match = match & F.col(key).eqNullSafe(F.col(f"_{key}"))
-    return means.join(renamed, match).select(
+    return paced.select(
         *keys, "clean_laps", "avg_lap_time", "median_lap_time", "best_lap_time"
     )
 

@@ -74,7 +74,7 @@ def latest_weekend_worklist(schedule: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def pit_stop_backfill(
-    sessions: DataFrame, laps: DataFrame, existing: DataFrame, limit: int | None = None
+    sessions: DataFrame, laps: DataFrame, existing: DataFrame
 ) -> DataFrame:
     """Pit stops of loaded races that have none yet, derived from their laps.
 
@@ -82,7 +82,7 @@ def pit_stop_backfill(
     """
     races = sessions.filter(F.col("session_type") == "R").select("session_id").distinct()
     wanted = only_new(races, existing, ["session_id"])
-    return shaping.extract_pit_stops(laps.join(wanted, "session_id", "left_semi"), limit=limit)
+    return shaping.extract_pit_stops(laps.join(wanted, "session_id", "left_semi"))
 
 
 def shape_feeds(

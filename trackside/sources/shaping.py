@@ -21,7 +21,7 @@ from trackside.functions import (
     to_real,
 )
 from trackside.operators import next_row_lookup, sequence_within
-from trackside.operators.skew import Order
+from trackside.operators.ordered import Order
 
 Stamp = datetime | None
 Carry = Sequence[str | Column]
@@ -154,10 +154,13 @@ def shape_circuits(
 
 
 def extract_pit_stops(
-    laps: DataFrame, order: Order = ("lap_number", "loaded_at"), limit: int | None = None
+    laps: DataFrame, order: Order | None = None, block: Column | None = None
 ) -> DataFrame:
     """Pit events from raw laps: laps with a pit-in time, numbered per driver.
 
+    In order of the lap, laps without a number last, then of the pit-in and pit-out time and
+    the load. ``block`` may cut a driver's stops, rising with that order (``operators.ordered``).
+
     ``pit_duration_seconds`` is pit-out minus pit-in *of the same lap row*. A car
     normally leaves the pits on its next lap, so this is NULL or negative for an
     ordinary stop; ``pit_lane_time`` gives the time spent in the pit lane.
@@ -165,8 +168,12 @@ def extract_pit_stops(
     stops = laps.filter(F.col("pit_in_time_seconds").isNotNull()).withColumn(
         "pit_duration_seconds", F.col("pit_out_time_seconds") - F.col("pit_in_time_seconds")
     )
+    order = order or [
+        F.col("lap_number").asc_nulls_last(), "pit_in_time_seconds",
+        F.col("pit_out_time_seconds").asc_nulls_last(), "loaded_at",
+    ]
     return sequence_within(
-        stops, ["session_id", "driver_number"], order, "stop_number", limit
+        stops, ["session_id", "driver_number"], order, "stop_number", block
     ).select(
         "session_id", "driver_number", "abbreviation", "stop_number", "lap_number",
         "pit_duration_seconds", "loaded_at",
