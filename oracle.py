@@ -374,13 +374,35 @@ STATEMENTS: dict[str, str] = {
     "land_by_session": _SCAN["laps"],
     "append_raw": _SCAN["results"],
     "load_sessions": """
+      select * exclude (l_orderkey, l_linenumber, l_partkey) replace (timestamp '2002-01-01' as loaded_at)
+      from raw_results where session_id is not null""",
+    "load_counts": """
       select 'sessions' as feed, count(*) as row_count from raw_sessions
       union all select 'results', count(session_id) from raw_results
       union all select 'laps', count(*) from raw_laps
       union all select 'weather', count(*) from raw_weather
       union all select 'drivers', count(session_id) from raw_results
       union all select 'circuits', count(*) from raw_circuits
-      union all select 'pit_stops', count(*) from raw_laps where pit_in_time_seconds is not null""",
+      union all select 'pit_stops', count(*) from raw_laps where pit_in_time_seconds is not null
+      union all select 'without session: results', count(*) - count(session_id) from raw_results
+      union all select 'without session: laps', count(*) - count(session_id) from raw_laps
+      union all select 'without session: weather', count(*) - count(session_id) from raw_weather
+      union all select 'without session: events', count(*) - count(session_id) from raw_sessions""",
+    "load_weekend": """
+      select * replace (timestamp '2002-01-01' as loaded_at) from raw_laps
+      where session_id in ('1997_4_R', '1997_4_Q')""",
+    "load_latest": """
+      select * replace (timestamp '2002-01-01' as loaded_at) from raw_sessions s
+      where round_number = (select max(o.round_number) from raw_sessions o
+                            where o.season = s.season and o.session_type = 'R'
+                              and o.session_date < date '1998-06-15')""",
+    "backfill_stored": _SCAN["pit_stops"],
+    "stg_laps_latest": """
+      select r.* from (select arg_max(x, (loaded_at, x::varchar)) as r from stg_laps x
+                       group by session_id, driver_number, lap_number)""",
+    "stg_sessions_latest": """
+      select r.* from (select arg_max(x, (loaded_at, x::varchar)) as r from stg_sessions x
+                       group by session_id)""",
     "incremental_session_append": _SCAN["pit_stops"],
     "skip_loaded_sessions": """
       select * exclude (l_orderkey, l_linenumber, l_partkey) from raw_results r

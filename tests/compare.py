@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 from datetime import date, datetime
@@ -80,7 +81,8 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark: SparkSession = build_session(
         "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                  "spark.driver.memory": "8g"}
+                                  "spark.driver.memory": "8g",
+                                  "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")}
     )
     spark.sparkContext.setLogLevel("ERROR")
     db, statements = connect(sf_dir), entry.oracle_sql()

@@ -31,5 +31,8 @@ def test_sessions_are_appended_once(spark):
     assert run() == first
     land((1, 1), (2, 1))
     assert run() == [*first, ("2024_2_R", 1)]
+    # A second file of a session that is loaded already.
+    land((2, 2), (2, 3))
+    assert run() == [*first, ("2024_2_R", 1), ("2024_2_R", 2), ("2024_2_R", 3)]
     # All files again, as after lost progress: nothing is doubled.
-    assert run("other") == [*first, ("2024_2_R", 1)]
+    assert run("other") == [*first, ("2024_2_R", 1), ("2024_2_R", 2), ("2024_2_R", 3)]

@@ -66,6 +66,10 @@ def test_floats_round_half_away_from_zero(spark, value, whole):
 def test_text_that_is_no_number_becomes_null(spark):
     df = spark.createDataFrame([("3",), ("4.5",), ("NC",), ("",), ("nan",), (None,)], "v string")
     assert [r[0] for r in df.select(to_real("v")).collect()] == [3.0, 4.5, None, None, None, None]
+    odd = spark.createDataFrame([(x,) for x in ("1d", "2f", "1D", " 7 ", "-1.5e2", ".5", "5.", "+", "0x1")], "v string")
+    assert [r[0] for r in odd.select(to_real("v")).collect()] == [
+        None, None, None, 7.0, -150.0, 0.5, 5.0, None, None
+    ]
 
 
 def test_durations_of_any_storage(spark):

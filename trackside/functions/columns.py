@@ -23,8 +23,13 @@ def clean_real(value: Column) -> Column:
 
 
 def to_real(name: str) -> Column:
-    """Numeric coercion: text that is no number becomes NULL instead of failing."""
-    return clean_real(F.col(name).try_cast("double"))
+    """Numeric coercion: text that is no number becomes NULL instead of failing.
+
+    A number is digits with an optional sign, point and exponent; ``1d`` or ``2f`` is none.
+    """
+    text = F.trim(F.col(name).cast("string"))
+    number = text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    return clean_real(F.when(number, text.try_cast("double")))
 
 
 def whole_number(value: Column) -> Column:

@@ -50,23 +50,28 @@ def qualifying_results(results: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def driver_standings(race: DataFrame) -> DataFrame:
-    """Points so far and championship position after each round a driver took part in.
-
-    Missing points count as none. Ties share a position.
-    """
+def driver_totals(race: DataFrame) -> DataFrame:
+    """Points of each round and so far, per driver; missing points count as none."""
     scored = race.select(
         "season", "round_number", "race_name", "session_date", "abbreviation", "full_name",
         "team_name",
         F.coalesce("points", F.lit(0.0)).alias("round_points"),
         "session_id", "driver_number",
     )
-    running = running_total(
+    return running_total(
         scored, "round_points", ["season", "abbreviation"],
         ["round_number", "session_id", "driver_number"], "cumulative_points",
     ).drop("session_id", "driver_number")
+
+
+def driver_standings(race: DataFrame) -> DataFrame:
+    """Points so far and championship position after each round a driver took part in.
+
+    Ties share a position.
+    """
     return rank_within(
-        running, ["season", "round_number"], "cumulative_points", "championship_position"
+        driver_totals(race), ["season", "round_number"], "cumulative_points",
+        "championship_position",
     )
 
 

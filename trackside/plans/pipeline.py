@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trackside.operators import quality
 from trackside.plans import marts, staging
 from trackside.schemas import RAW, SESSION_TYPES
-from trackside.sources import landing
+from trackside.sources import landing, loading
 
 MARTS = [
     "race_results", "qualifying_results", "driver_standings", "final_standings",
@@ -126,8 +126,11 @@ class Pipeline:
     def circuit_stats(self) -> DataFrame:
         return marts.circuit_stats(self.race_results, self.qualifying_results, self.pit_stops)
 
-    def check(self) -> None:
-        """Stop on session rows that would spoil every mart."""
+    def check(self, rounds: DataFrame | None = None) -> None:
+        """Stop on session rows that would spoil every mart, and on rounds that are missing.
+
+        ``rounds``: the expected ``season, rounds``; without it completeness is not checked.
+        """
         sessions = self.stg_sessions
         quality.gate("unique session_id", quality.unique(sessions, "session_id"))
         quality.gate(
@@ -137,12 +140,14 @@ class Pipeline:
         quality.gate(
             "session_type", quality.accepted_values(sessions, "session_type", SESSION_TYPES)
         )
+        if rounds is not None:
+            missing = quality.missing_rounds(loading.expected_grid(rounds), sessions)
+            quality.gate("all rounds", missing)
 
     def keep(self, root: str, *names: str) -> Pipeline:
         """Store relations under ``root``; what is built on them from now on reads them there.
 
-        Worth it for a relation that is costly to make and read more than once:
-        by several marts, or by the group-size checks of the ordered operators.
+        Worth it for a relation that is costly to make and read by several marts.
         """
         for name in names:
             path, relation = f"{root}/{name}", getattr(self, name)
@@ -153,11 +158,15 @@ class Pipeline:
             setattr(self, name, stored)
         return self
 
-    def write(self, root: str) -> dict[str, DataFrame]:
-        """Store all marts in order of dependence; later ones read the stored earlier ones.
+    def write(self, root: str, rounds: DataFrame | None = None) -> dict[str, DataFrame]:
+        """Check, then store all marts in order of dependence; later ones read the stored earlier ones.
 
-        The deduplicated results are stored too, since two marts read them.
+        The deduplicated results are stored too, since two marts read them. Writing again stores
+        new versions made from the raw tables as they are now.
         """
+        for name in ("stg_results", *MARTS):
+            self.__dict__.pop(name, None)
+        self.check(rounds)
         self.keep(root, "stg_results", *MARTS)
         return {name: getattr(self, name) for name in MARTS}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackside.operators import group_quantile
@@ -37,17 +37,17 @@ def points_progression(drivers: DataFrame, season: int | None = None) -> DataFra
     )
 
 
-def gap_to_leader(drivers: DataFrame, season: int | None = None) -> DataFrame:
-    """Points each driver is behind the leader after each round."""
-    rows = _season(drivers, season).select(
-        "season", "round_number", "abbreviation", "cumulative_points"
-    )
-    # The leader's total is one row per round, so a round of any size is no window's burden.
-    leader = rows.groupBy("season", "round_number").agg(
-        F.max("cumulative_points").alias("leader_points")
-    )
-    return rows.join(leader, ["season", "round_number"]).withColumn(
-        "gap_to_leader", F.col("leader_points") - F.col("cumulative_points")
+def gap_to_leader(totals: DataFrame, season: int | None = None) -> DataFrame:
+    """Points each driver is behind the leader after each round.
+
+    ``totals`` are the drivers' points so far (``marts.driver_totals`` or the standings); the leader's are
+    the highest of the round, which has one row per driver.
+    """
+    leader = F.max("cumulative_points").over(Window.partitionBy("season", "round_number"))
+    return _season(totals, season).select(
+        "season", "round_number", "abbreviation", "cumulative_points",
+        leader.alias("leader_points"),
+        (leader - F.col("cumulative_points")).alias("gap_to_leader"),
     )
 
 
@@ -119,7 +119,10 @@ def degradation(laps: DataFrame, season: int | None = None) -> DataFrame:
 
 
 def _slope(x: Column, y: Column) -> Column:
-    """Least-squares slope from plain sums, so that exact inputs give an exact result."""
+    """Least-squares slope from plain sums: exact for small whole numbers such as tyre ages.
+
+    Loses digits where values are large against their spread; centre them first then.
+    """
     n = F.count(F.lit(1)).cast("double")
     spread = n * F.sum(x * x) - F.sum(x) * F.sum(x)
     together = n * F.sum(x * y) - F.sum(x) * F.sum(y)

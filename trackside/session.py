@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,27 +38,39 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """No folder was named that the driver and all executors share."""
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder: ``spark.checkpoint.dir``, or the checkpoint folder of the context.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    A local folder would be a different one on each machine, so none is made up here.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="trackside-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return named or current
+    root = named or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
+    return root
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/trackside-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path for a table in the shared folder.
 
-    Tables stay there, under one directory per application, until the folder is
-    cleared: a stored result may be read long after the call that made it.
+    Tables stay there, under one directory per application, until ``drop_scratch``: a stored
+    result may be read long after the call that made it.
     """
-    root, app = scratch_root(spark).rstrip("/"), spark.sparkContext.applicationId
-    return f"{root}/trackside-{app}/{uuid.uuid4().hex}/{name}"
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has stored; frames that read it cannot be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackside.operators import only_new
 from trackside.schemas import RAW, SOURCE
+from trackside.session import settled
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -61,38 +64,128 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> None:
     conform(df, schema).write.mode("append").parquet(path)
 
 
-def append_if_new(
-    incoming: DataFrame, path: str, schema: T.StructType, keys: Sequence[str] = ("session_id",)
+# Where a raw row is stored: by the season and the session it was loaded from. Not part of its schema.
+PART_SEASON, PART_SESSION = "part_season", "part_session"
+
+
+def by_session(df: DataFrame, schema: T.StructType, session: Column) -> DataFrame:
+    """The declared columns and the two columns that a raw table is partitioned by."""
+    season = F.split_part(session, F.lit("_"), F.lit(1)).try_cast("bigint")
+    placed = df.withColumn(PART_SESSION, session).withColumn(PART_SEASON, season)
+    columns = conform(df, schema).columns
+    return placed.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in columns],
+        PART_SEASON, PART_SESSION,
+    )
+
+
+def replace_sessions(
+    df: DataFrame, path: str, schema: T.StructType, session: Column | None = None
+) -> None:
+    """Store rows so that each session that comes in has these rows and no others.
+
+    A session is a directory, and a directory is replaced whole. Whatever a load that broke off has left of it,
+    running the load again ends with the full rows, neither lost nor doubled.
+    """
+    rows = by_session(df, schema, F.col("session_id") if session is None else session)
+    (
+        rows.hint("rebalance", PART_SEASON, PART_SESSION)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PART_SEASON, PART_SESSION).parquet(path)
+    )
+
+
+def read_seasons(
+    spark: SparkSession, path: str, schema: T.StructType, seasons: Sequence[int]
+) -> DataFrame:
+    """The rows of some seasons of a raw table; no other directory is read."""
+    placed = T.StructType([
+        *schema.fields, T.StructField(PART_SEASON, T.LongType()),
+        T.StructField(PART_SESSION, T.StringType()),
+    ])
+    stored = spark.read.schema(placed).parquet(path)
+    return stored.filter(F.col(PART_SEASON).isin(list(seasons))).select(*schema.names)
+
+
+def seasons_of(df: DataFrame, column: Column) -> list[int]:
+    """The seasons that come in: a few numbers, whatever the number of rows."""
+    return sorted(r[0] for r in df.select(column.alias("s")).distinct().collect() if r[0] is not None)
+
+
+def append_rows_if_new(
+    incoming: DataFrame, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> None:
-    """Append the rows whose key the table does not hold yet.
+    """Append the rows whose key the table does not hold yet, comparing incoming seasons only.
 
-    A table write is committed as a whole or not at all, so running a failed load
-    again neither loses nor doubles a session.
+    Rows are compared, not sessions: of a batch that is run again only what is missing is added, and
+    a second part of a session that comes later is added as well.
     """
-    existing = read_table(incoming.sparkSession, path, schema)
-    append(only_new(incoming, existing, keys), path, schema)
+    rows = by_session(incoming, schema, F.col("session_id"))
+    seasons = seasons_of(rows, F.col(PART_SEASON))
+    existing = read_seasons(incoming.sparkSession, path, schema, seasons)
+    (
+        only_new(rows, existing, keys).write.mode("append")
+        .partitionBy(PART_SEASON, PART_SESSION).parquet(path)
+    )
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The complete versions of a mart, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    found = [str(x.getPath().toString()) for x in files.listStatus(folder) if x.isDirectory()]
+    return sorted(v for v in found if files.exists(path_of(f"{v}/_SUCCESS")))
+
+
+def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a mart."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no complete version of a mart in {path}")
+    return spark.read.schema(schema).parquet(versions[-1]).select(*schema.names)
+
+
+def _new_version(spark: SparkSession, path: str) -> str:
+    return f"{path}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _switched(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Drop all versions but the newest two: a reader may still be at the one before."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    for old in _versions(spark, path)[:-2]:
+        old = path_of(old)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return read_mart(spark, path, schema)
 
 
 def write_mart(df: DataFrame, path: str) -> DataFrame:
-    """Replace a mart table and return it as stored."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Store a new version of a mart and return it as stored.
+
+    The version before stays until the new one is complete, so a write that fails leaves
+    the old mart, and a mart may be made from itself.
+    """
+    df.write.parquet(_new_version(df.sparkSession, path))
+    return _switched(df.sparkSession, path, df.schema)
 
 
 def write_clustered(
     df: DataFrame, path: str, partition: str = "season",
     cluster: Sequence[str] = ("abbreviation", "round_number"),
 ) -> DataFrame:
-    """Replace a mart partitioned by ``partition`` and sorted by ``cluster`` within.
+    """Store a new version of a mart, partitioned by ``partition`` and sorted by ``cluster`` within.
 
-    Range partitioning on all of these columns gives every task an equal share, a
-    hot season included, and every file a narrow range of the cluster columns, so
-    that a reader skips directories by season and row groups by driver and round.
+    Range partitioning on these columns gives every file a narrow range of the cluster columns, so
+    that a reader skips directories by season and row groups by driver and round. A hash of the
+    row comes last, so that a season, driver and round with any part of all rows is spread over
+    tasks and files too. The rows are stored before, as the ranges are found by reading them.
     """
+    last = F.xxhash64(*df.columns)
     (
-        df.repartitionByRange(partition, *cluster)
+        settled(df).repartitionByRange(partition, *cluster, last)
         .sortWithinPartitions(partition, *cluster)
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy(partition).parquet(path)
+        .write.partitionBy(partition).parquet(_new_version(df.sparkSession, path))
     )
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return _switched(df.sparkSession, path, df.schema)

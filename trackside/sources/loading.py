@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trackside.functions import build_session_id
 from trackside.operators import only_new
 from trackside.schemas import RAW, SEASON_ROUNDS, SESSION_FEEDS, SESSION_TYPES
+from trackside.session import settled
 from trackside.sources import landing, shaping
 
 
@@ -33,16 +34,21 @@ def expected_grid(rounds: DataFrame, types: Sequence[str] = SESSION_TYPES) -> Da
     )
 
 
+def in_order(worklist: DataFrame) -> DataFrame:
+    """A worklist by season and round, qualifying before the race."""
+    return worklist.orderBy("season", "round_number", "session_type")
+
+
 def load_worklist(rounds: DataFrame, loaded: DataFrame) -> DataFrame:
     """Expected sessions that are not loaded yet."""
-    return only_new(expected_grid(rounds), loaded, ["session_id"])
+    return in_order(only_new(expected_grid(rounds), loaded, ["session_id"]))
 
 
 def weekend_worklist(rounds: DataFrame, season: int, round_number: int) -> DataFrame:
     """Both sessions of one race weekend."""
-    return expected_grid(rounds).filter(
+    return in_order(expected_grid(rounds).filter(
         (F.col("season") == season) & (F.col("round_number") == round_number)
-    )
+    ))
 
 
 def latest_completed_round(
@@ -63,7 +69,7 @@ def latest_completed_round(
 def latest_weekend_worklist(schedule: DataFrame, as_of: datetime) -> DataFrame:
     """Both sessions of each season's latest completed round; none before its first."""
     latest = latest_completed_round(schedule, as_of).filter("latest_round is not null")
-    return (
+    return in_order(
         latest.select(
             "season",
             F.col("latest_round").alias("round_number"),
@@ -85,47 +91,97 @@ def pit_stop_backfill(
     return shaping.extract_pit_stops(laps.join(wanted, "session_id", "left_semi"))
 
 
+def backfill_pit_stops(spark: SparkSession, root: str) -> DataFrame:
+    """Derive and store the pit stops of loaded races that have none; returns the session ids."""
+    sessions, laps, stops = (
+        landing.read_raw(spark, root, feed) for feed in ("sessions", "laps", "pit_stops")
+    )
+    found = settled(pit_stop_backfill(sessions, laps, stops))
+    landing.replace_sessions(found, f"{root}/raw_pit_stops", RAW["pit_stops"])
+    return found.select("session_id").distinct()
+
+
 def shape_feeds(
     feeds: dict[str, DataFrame], loaded_at: datetime | None = None
 ) -> dict[str, DataFrame]:
-    """All seven raw feeds from the landed source feeds."""
+    """All seven raw feeds from the landed source feeds, laps read once for laps and pit stops.
+
+    Drivers and circuits carry the session that they were loaded from as ``from_session``.
+    """
     laps = shaping.shape_laps(feeds["laps"], loaded_at)
+    event_id = build_session_id("season", "round_number", "session_type").alias("from_session")
     return {
         "results": shaping.shape_results(feeds["results"], loaded_at),
         "laps": laps,
         "weather": shaping.shape_weather(feeds["weather"], feeds["events"], loaded_at),
-        "drivers": shaping.shape_drivers(feeds["results"], loaded_at),
-        "circuits": shaping.shape_circuits(feeds["events"], loaded_at),
+        "drivers": shaping.shape_drivers(
+            feeds["results"], loaded_at, [F.col("session_id").alias("from_session")]
+        ),
+        "circuits": shaping.shape_circuits(feeds["events"], loaded_at, [event_id]),
         "pit_stops": shaping.extract_pit_stops(laps),
         "sessions": shaping.shape_sessions(feeds["events"], loaded_at),
     }
 
 
 def load_sessions(
-    spark: SparkSession, feeds: dict[str, DataFrame], root: str, loaded_at: datetime
-) -> None:
-    """Load all sessions of the landed feeds that are not in the raw tables yet.
+    spark: SparkSession, feeds: dict[str, DataFrame], root: str, loaded_at: datetime,
+    worklist: DataFrame | None = None,
+) -> DataFrame:
+    """Load the sessions of the landed feeds that are not in the raw tables yet.
+
+    With a ``worklist`` only its sessions are loaded, and loaded again if they are there. Every table
+    is replaced session by session, and the session table comes last: a session is marked loaded
+    once all its feeds are. A load that broke off, anywhere, is put right by running it again.
 
-    The session table is written last: a session is marked loaded only once all
-    its feeds are. Each feed that names its session is checked for itself too, so
-    that a load which broke off half way can simply be run again.
+    Returns ``feed, rows_without_session``: landed rows that name no session belong to no load and
+    are left out, but counted.
     """
     landing.create_raw_tables(spark, root)
     event_id = build_session_id("season", "round_number", "session_type")
-    new = only_new(
-        feeds["events"].withColumn("session_id", event_id),
-        landing.read_raw(spark, root, "sessions"),
-        ["session_id"],
-    )
+    events = feeds["events"].withColumn("session_id", event_id)
+    if worklist is None:
+        seasons = landing.seasons_of(events, F.col("season"))
+        loaded = landing.read_seasons(spark, f"{root}/raw_sessions", RAW["sessions"], seasons)
+        new = only_new(events, loaded, ["session_id"])
+    else:
+        new = events.join(worklist.select("session_id").distinct(), "session_id", "left_semi")
+    new = settled(new.filter("session_id is not null"))
     wanted = new.select("session_id").distinct()
     fresh = {
         name: feed.join(wanted, "session_id", "left_semi")
-        for name, feed in feeds.items() if name != "events"
+        for name, feed in feeds.items() if name != "events" and "session_id" in feed.columns
     }
+    fresh["laps"] = settled(fresh["laps"])
     shaped = shape_feeds({**fresh, "events": new.drop("session_id")}, loaded_at)
-    for feed in SESSION_FEEDS:
-        landing.append_if_new(shaped[feed], f"{root}/raw_{feed}", RAW[feed])
-    # These two do not name their session; staging keeps the latest row per key.
-    for feed in ("drivers", "circuits"):
-        landing.append(shaped[feed], f"{root}/raw_{feed}", RAW[feed])
-    landing.append_if_new(shaped["sessions"], f"{root}/raw_sessions", RAW["sessions"])
+    for feed in (*SESSION_FEEDS, "drivers", "circuits", "sessions"):
+        session = F.col("from_session") if feed in ("drivers", "circuits") else None
+        landing.replace_sessions(shaped[feed], f"{root}/raw_{feed}", RAW[feed], session)
+    lost = [
+        feed.filter("session_id is null").agg(F.count(F.lit(1)).alias("rows_without_session"))
+        .select(F.lit(name).alias("feed"), "rows_without_session")
+        for name, feed in {**feeds, "events": events}.items() if "session_id" in feed.columns
+    ]
+    report = lost[0]
+    for more in lost[1:]:
+        report = report.unionByName(more)
+    return report
+
+
+def load_weekend(
+    spark: SparkSession, feeds: dict[str, DataFrame], root: str, loaded_at: datetime,
+    season: int, round_number: int,
+) -> DataFrame:
+    """Load both sessions of one race weekend."""
+    rounds = season_rounds(spark, {season: round_number})
+    return load_sessions(
+        spark, feeds, root, loaded_at, weekend_worklist(rounds, season, round_number)
+    )
+
+
+def load_latest(
+    spark: SparkSession, feeds: dict[str, DataFrame], root: str, loaded_at: datetime,
+    as_of: datetime,
+) -> DataFrame:
+    """Load both sessions of each season's latest completed round."""
+    worklist = latest_weekend_worklist(feeds["schedule"], as_of)
+    return load_sessions(spark, feeds, root, loaded_at, worklist)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.operators import latest_by_key
-from trackside.sources.landing import append_if_new, create_table
+from trackside.sources.landing import append_rows_if_new, create_table
 
 
 def incremental_session_append(
@@ -19,21 +19,19 @@ def incremental_session_append(
     checkpoint_path: str,
     schema: T.StructType,
     row_key: Sequence[str],
-    key: Sequence[str] = ("session_id",),
 ) -> StreamingQuery:
-    """Append sessions from newly landed files; a session already in the table is skipped.
+    """Append the rows of newly landed files that the table does not hold yet.
 
-    Takes all files that are waiting and stops. Copies of a row within a batch are
-    reduced to the latest. A batch that is run again after a failure finds its
-    sessions in the table and adds nothing. Land a session's files together: a
-    part that arrives after its session was loaded counts as a repeat.
+    Takes all files that are waiting and stops. Copies of a row are reduced to the latest within a batch, and
+    one that is in the table already is skipped. A batch that is run again after a failure
+    adds what is missing. A session's files may come in any number of parts.
     """
     create_table(spark, table_path, schema)
     others = [name for name in schema.names if name not in {*row_key, "loaded_at"}]
 
     def add(batch: DataFrame, _: int) -> None:
         latest = latest_by_key(batch, row_key, ["loaded_at"], others)
-        append_if_new(latest, table_path, schema, key)
+        append_rows_if_new(latest, table_path, schema, row_key)
 
     return (
         spark.readStream.schema(schema).parquet(landing_path)
