@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackside.llm import filters, tables, textscan
@@ -17,7 +17,7 @@ from trackside.llm.store import keep, packed, unpacked
 #: Cells in which n-grams are counted; their number does not depend on the corpus.
 CELLS = 1 << 20
 #: Parts into which the suffix filter deals a set.
-PARTS = 16
+PARTS = 64
 #: Rounds in which every list of a shared n-gram is compared to two of its members only.
 STAR_ROUNDS = 2
 CLASS_BITS = np.uint64(56)
@@ -196,10 +196,6 @@ def _verified(pairs: DataFrame, reps: DataFrame, sets: _Sets, percent: int) -> D
     return keep(counted.filter(F.col("common") * 100 >= union * percent).select("a", "b"), "links")
 
 
-def _pair(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
     percent: int = 80,
@@ -217,8 +213,8 @@ def near_duplicates(
     ones first; any such order gives the same result, a good one short lists. Equal sets are
     one representative. Representatives meet where they share an n-gram of their prefixes, and:
 
-    1. in each list of a shared n-gram every member is paired to two members, whose choice is
-       alike in all lists; the pairs are verified once, and what links is one component;
+    1. in each list of a shared n-gram every member is paired to two members, one of them that with
+       the fewest n-grams of its own; the pairs are verified once, and what links is one component;
     2. this is done again for lists that still hold several components;
     3. then all pairs of a list from different components that pass the length and position filters are
        verified. Pairs within a component cannot change it, so none is needed.
@@ -300,6 +296,32 @@ def survivors(
     return unpacked(marked.filter("not __maybe").unionByName(unsure))
 
 
+def _overlap_bound(x: str, y: str) -> Column:
+    """The most n-grams that two sets can share, from one they share at a place of each.
+
+    After the shared n-gram at most the shorter rest is common. Before it only n-grams that
+    stand in another prefix as well can be, so rare n-grams of one document alone count against it.
+    """
+    return F.least(f"{x}.before", f"{y}.before") + F.least(
+        F.col(f"{x}.n") - F.col(f"{x}.place"), F.col(f"{y}.n") - F.col(f"{y}.place")
+    )
+
+
+def _possible(pairs: DataFrame, percent: int) -> DataFrame:
+    """The distinct (a, b) of postings ``x`` and ``y`` that pass the length and position filters."""
+    n, m = F.col("x.n"), F.col("y.n")
+    need = _least_common(n, m, percent)
+    return (
+        pairs.filter("x.rep <> y.rep")
+        .filter(F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+        # The first n-gram in common leaves as many as are needed; later ones only find the pair again.
+        .filter((F.col("x.place") <= n - need) & (F.col("y.place") <= m - need))
+        .filter(_overlap_bound("x", "y") >= need)
+        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        .distinct()
+    )
+
+
 def _links(
     spark: SparkSession, rows: DataFrame, reps: DataFrame, size: int, percent: int,
     rarity: np.ndarray,
@@ -313,53 +335,55 @@ def _links(
     shared = keep(lists.filter("members > 1"), "shared")
     total = max(1, shared.agg(F.sum("members")).first()[0] or 1)
     # The postings of n-grams that two representatives share at least; each its own component yet.
+    own = Window.partitionBy("rep").orderBy("place")
     live = keep(
-        attach(postings, shared, "token", "members", total).withColumn("component", F.col("rep")),
+        attach(postings, shared, "token", "members", total).select(
+            "token", F.col("rep").alias("component"),
+            F.struct("rep", "n", "place", (F.row_number().over(own) - 1).alias("before")).alias("x"),
+        ),
         "live",
     )
     tested = links = None
     for turn in range(STAR_ROUNDS):
-        mark = F.xxhash64("rep", F.lit(turn))
+        mark = F.xxhash64("x.rep", F.lit(turn))
+        # The member with the fewest n-grams of its own before is the likeliest to link with many.
+        central = F.struct((F.col("x.place") - F.col("x.before")).alias("alone"), mark.alias("mark"))
         hubs = keep(
             live.groupBy("token").agg(
-                F.min_by("rep", mark).alias("one"), F.max_by("rep", mark).alias("two"),
+                F.min(F.struct(central.alias("order"), "x")).alias("one"),
+                F.min(F.struct(mark.alias("order"), "x")).alias("two"),
                 F.count(F.lit(1)).alias("members"),
-            ),
+            ).select("token", F.array("one.x", "two.x").alias("hubs"), "members"),
             "hubs",
         )
-        spokes = attach(live.select("token", "rep"), hubs, "token", "members", total)
-        pairs = spokes.select("rep", F.explode(F.array("one", "two")).alias("hub")).filter("rep <> hub")
-        pairs = pairs.select(*_pair(F.col("rep"), F.col("hub"))).distinct()
+        spokes = attach(live.select("token", "x"), hubs, "token", "members", total)
+        found = _possible(
+            spokes.select("x", F.col("hubs")[0].alias("y"))
+            .unionByName(spokes.select("x", F.col("hubs")[1].alias("y"))), percent
+        ).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = _verified(pairs, reps, sets, percent)
+            found = found.join(tested, ["a", "b"], "left_anti")
+        found = keep(found, "pairs")
+        tested = found if tested is None else tested.unionByName(found)
+        new = _verified(found, reps, sets, percent)
         links = new if links is None else links.unionByName(new)
         live = _open_lists(live, links)
-    other = live.toDF(*[f"{c}_2" if c != "token" else c for c in live.columns])
-    need = _least_common(F.col("n"), F.col("n_2"), percent)
-    rest = F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2"))
-    ahead = F.least("place", "place_2")
-    across = (
-        live.join(other, "token")
-        .filter("rep < rep_2 and component <> component_2")
-        .filter(F.least("n", "n_2") * 100 >= F.greatest("n", "n_2") * percent)
-        .filter(ahead + rest >= need)
-        .select(F.col("rep").alias("a"), F.col("rep_2").alias("b")).distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
+    other = live.select("token", F.col("component").alias("other"), F.col("x").alias("y"))
+    across = live.join(other, "token").filter("component < other")
+    across = _possible(across, percent).join(tested, ["a", "b"], "left_anti")
     return links.unionByName(_verified(keep(across, "across"), reps, sets, percent))
 
 
 def _open_lists(live: DataFrame, links: DataFrame) -> DataFrame:
     """The postings with their component by ``links``, of the lists that hold more than one."""
     found = components(links)
-    sizes = live.groupBy("rep").agg(F.count(F.lit(1)).alias("entries"))
-    labels = sizes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", F.coalesce("component", "rep").alias("component")
+    labels = found.withColumnRenamed("node", "rep").withColumnRenamed("component", "linked")
+    labelled = keep(
+        live.withColumn("rep", F.col("x.rep")).join(labels, "rep", "left").select(
+            "token", F.coalesce("linked", "rep").alias("component"), "x"
+        ),
+        "labelled",
     )
-    labelled = keep(live.drop("component").join(labels, "rep"), "labelled")
     open_ = labelled.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.count(F.lit(1)).alias("entries"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 
 import numpy as np
 
@@ -11,9 +12,10 @@ import numpy as np
 FOLDER = "/opt/tokenizers"
 FILE = "word_bpe_49k.json"
 #: Chunks whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 # Python splits at these, the tokenizer does not.
 _ODD_BLANKS = "\x1c\x1d\x1e\x1f"
+_MARKS = ".,;:!?"
 
 
 def tokenizer_path(name: str = FILE, folder: str = FOLDER) -> str:
@@ -25,11 +27,20 @@ def tokenizer_path(name: str = FILE, folder: str = FOLDER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: printable ones stand for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
     """The ids that the tokenizer gives a text, as little-endian 16-bit bytes.
 
     The tokenizer cuts texts at white space and looks at each chunk alone, so chunks are
-    remembered: most of a text is made of chunks seen before. ``plain``: strings of special tokens are ordinary text.
+    remembered: most of a text is made of chunks seen before. A chunk of letters, with a mark behind it or not, is
+    lower-cased and merged without the tokenizer's search for pieces; any other is encoded as it is.
+    ``plain``: strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str, plain: bool) -> None:
@@ -39,23 +50,44 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         assert self.tokenizer.get_vocab_size() <= 1 << 16
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self._encoded(list(_MARKS)), strict=True)) | {"": b""}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u2").tobytes() for x in made]
 
+    def _word(self, chunk: str) -> bytes | None:
+        """The ids of a chunk of letters of the first 256 code points, and perhaps a mark."""
+        low = chunk.lower()
+        mark = low[-1] if low[-1] in _MARKS else ""
+        word = low[:-1] if mark else low
+        if not word.isalpha():
+            return None
+        ids = self.words.get(word)
+        if ids is None:
+            written = word
+            if not word.isascii():
+                if max(word) > "\xff":
+                    return None
+                written = word.encode().decode("latin-1").translate(self.letters)
+            ids = self.words[word] = struct.pack(
+                f"<{len(found := self.merge(written))}H", *[t.id for t in found]
+            )
+        return ids + self.marks[mark]
+
     def _learn(self, chunks: set[str]) -> None:
-        parts = {}
+        rest = []
         for chunk in chunks:
-            # A letter before the last mark ends a piece there, so both sides stand alone; case is dropped anyway.
-            low = chunk.lower() if chunk.isascii() and "<|" not in chunk else chunk
-            cut = len(low) > 1 and low[-1] in ".,;:!?" and low[-2].isalpha()
-            parts[chunk] = (low[:-1], low[-1]) if cut else (low,)
-        fresh = list({p for x in parts.values() for p in x} - self.known.keys())
-        self.known.update(zip(fresh, self._encoded(fresh), strict=True))
-        for chunk, own in parts.items():
-            self.known[chunk] = b"".join([self.known[p] for p in own])
+            ids = self._word(chunk)
+            if ids is None:
+                rest.append(chunk)
+            else:
+                self.known[chunk] = ids
+        self.known.update(zip(rest, self._encoded(rest), strict=True))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null is empty."""
@@ -64,6 +96,7 @@ class WordTokenizer:
         chunks_here = {chunk for chunks in split for chunk in chunks}
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.words.clear()
         if missing := chunks_here - self.known.keys():
             self._learn(missing)
         known = self.known

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -13,17 +14,19 @@ from pyspark.sql import functions as F
 
 #: Letters of a subsequence, the widest stretch it may span, and the weight of each character spanned.
 ORDER, REACH, DECAY = 3, 7, 0.75
-LETTERS = 64
+LETTERS = 48
 LANDMARKS = 96
 #: Labelled documents that are fitted on, clean and toxic; those with the smallest hash of their id.
 SAMPLE = (4500, 1500)
-ROUNDS, EPOCHS, LEAST_STEPS, PENALTY = 6, 10, 8000, 1e-4
+ROUNDS, STEPS, BATCH, PENALTY = 6, 12000, 96, 1e-4
 #: Log of how many times more often toxic texts hold a word that surely tells.
 TELLING = 3.5
 #: Landmark directions of a smaller part of the largest eigenvalue are noise.
 SMALLEST = 1e-3
 #: Training ends when so few of the clean documents have a word with a positive margin.
 VIOLATORS = 0.003
+#: 0: every word counts alike; 1: both classes count alike.
+BALANCE = 0.7
 #: Shorter words are weighed as if they had so many letters: few subsequences say little.
 SHORTEST = 5
 
@@ -173,38 +176,41 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -50, 50)))
 
 
-def _landmarks(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
+def _landmarks(
+    names: list[str], toxic: Counter, clean: Counter, n_toxic: int, n_clean: int
+) -> list[str]:
     """Two thirds are words that toxic texts hold more often, one third are words of clean texts."""
-    def gain(word: str) -> float:
-        return toxic[word] / max(1, n_toxic) - clean[word] / max(1, n_clean)
+    def gain(i: int) -> float:
+        return toxic[i] / n_toxic - clean[i] / n_clean
 
-    words = sorted((w for w in toxic if 3 <= len(w) <= 24 and toxic[w] > 1), key=lambda w: (-gain(w), w))
-    plain = sorted((w for w in clean if 3 <= len(w) <= 24), key=lambda w: (-clean[w], w))
-    marked = words[: LANDMARKS * 2 // 3]
-    return marked + [w for w in plain if w not in set(marked)][: LANDMARKS - len(marked)]
+    fit_ = [i for i, w in enumerate(names) if 3 <= len(w) <= 24]
+    marked = sorted((i for i in fit_ if toxic[i] > 1), key=lambda i: (-gain(i), names[i]))
+    marked = marked[: LANDMARKS * 2 // 3]
+    plain = sorted((i for i in fit_ if clean[i]), key=lambda i: (-clean[i], names[i]))
+    others = [i for i in plain[:LANDMARKS] if i not in set(marked)]
+    return [names[i] for i in [*marked, *others][:LANDMARKS]]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, seed: int) -> tuple[np.ndarray, float]:
-    """A linear support vector machine by averaged subgradient steps; the classes are weighed towards balance."""
+def _svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, seed: int) -> tuple[np.ndarray, float]:
+    """A linear support vector machine by averaged subgradient steps; rows are drawn as ``often`` as they occur."""
     rng = np.random.default_rng(seed)
-    weight = np.where(y > 0, (max(1, (y < 0).sum()) / max(1, (y > 0).sum())) ** 0.7, 1.0)
+    toxic = y > 0
+    pull_of = np.where(toxic, (often[~toxic].sum() / max(1, often[toxic].sum())) ** BALANCE, 1.0) * y
+    drawn = np.cumsum(often) / often.sum()
     w, b = np.zeros(x.shape[1]), 0.0
-    mean_w, mean_b, count, step = np.zeros_like(w), 0.0, 0, 0
-    size = 64
-    epochs = max(EPOCHS, -(-LEAST_STEPS * size // len(y)))
-    for epoch in range(epochs):
-        order = rng.permutation(len(y))
-        for at in range(0, len(order), size):
-            step += 1
-            rows = order[at : at + size]
-            rate = 1 / (PENALTY * (step + 1 / PENALTY))
-            wrong = y[rows] * (x[rows] @ w + b) < 1
-            pull = (weight[rows] * y[rows] * wrong) / len(rows)
-            w = (1 - rate * PENALTY) * w + rate * (pull @ x[rows])
-            b += rate * pull.sum()
-            if epoch >= epochs // 2:
-                mean_w, mean_b, count = mean_w + w, mean_b + b, count + 1
-    return mean_w / max(1, count), mean_b / max(1, count)
+    mean_w, mean_b, count = np.zeros_like(w), 0.0, 0
+    for step in range(1, STEPS + 1):
+        rows = np.searchsorted(drawn, rng.random(BATCH), "right")
+        rows = np.minimum(rows, len(y) - 1)
+        rate = 1 / (PENALTY * step + 1)
+        part = x[rows]
+        wrong = y[rows] * (part @ w + b) < 1
+        pull = pull_of[rows] * wrong / BATCH
+        w = (1 - rate * PENALTY) * w + rate * (pull @ part)
+        b += rate * pull.sum()
+        if step > STEPS // 2:
+            mean_w, mean_b, count = mean_w + w, mean_b + b, count + 1
+    return mean_w / count, mean_b / count
 
 
 def _calibrated(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -230,41 +236,41 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """
     y = np.array(labels)
     number: dict[str, int] = {}
-    lengths, of_doc, parts = [], [], []
+    lengths, of_doc, flat = array("l"), array("l"), array("l")
     toxic, clean = Counter(), Counter()
     for d, text in enumerate(texts):
-        sentences = tokens(text or "")
         held = set()
-        for words in sentences:
-            parts.append(np.array([number.setdefault(w, len(number)) for w in words], np.int32))
-            held.update(words)
+        for words in tokens(text or ""):
+            own = [number.setdefault(w, len(number)) for w in words]
+            flat.extend(own)
+            lengths.append(len(own))
+            of_doc.append(d)
+            held.update(own)
         (toxic if y[d] else clean).update(held)
-        lengths += [len(words) for words in sentences]
-        of_doc += [d] * len(sentences)
     n_toxic, n_clean = int(y.sum()), int((1 - y).sum())
-    landmarks = _landmarks(toxic, clean, n_toxic, n_clean)
+    names = list(number)
+    landmarks = _landmarks(names, toxic, clean, max(1, n_toxic), max(1, n_clean))
     if not landmarks or not n_toxic or not n_clean:
         return Model(np.zeros(LETTERS**ORDER, np.float32), -1.0, 1.0, -2.0)
-    basis = np.stack([word_features(w) for w in landmarks])
-    values, vectors = np.linalg.eigh(basis @ basis.T)
+    del number
+    # The landmarks' subsequences: what a word's kernel with each of them is summed from.
+    basis = np.stack([word_features(w) for w in landmarks], 1)
+    values, vectors = np.linalg.eigh(basis.T @ basis)
     keep = values > SMALLEST * values.max()
-    whiten = vectors[:, keep] / np.sqrt(values[keep])
-
-    def telling(word: str) -> float:
-        return (toxic[word] + 0.2) / n_toxic / ((clean[word] + 1) / n_clean)
+    whiten = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
-    names = list(number)
-    flat, of_doc = np.concatenate(parts), np.array(of_doc)
-    where = np.cumsum([0, *lengths])[:-1]
+    lengths, of_doc, flat = (np.array(x, np.int64) for x in (lengths, of_doc, flat))
+    where = np.cumsum(lengths) - lengths
     is_toxic = y[of_doc] == 1
     # How much more often toxic texts hold a word.
     telling = np.array([
-        np.log((toxic[w] + 0.2) / n_toxic) - np.log((clean[w] + 1) / n_clean) for w in names
+        np.log((toxic[i] + 0.2) / n_toxic) - np.log((clean[i] + 1) / n_clean)
+        for i in range(len(names))
     ])
     margin = np.zeros(len(names))
     toxic_word = np.repeat(is_toxic, lengths)
-    features = np.zeros((len(names), whiten.shape[1]), np.float32)
-    computed = np.zeros(len(names), bool)
+    features = np.zeros((0, whiten.shape[1]), np.float32)
+    row = np.full(len(names), -1)
     against = np.zeros(0, np.int64)
     for turn in range(ROUNDS):
         value = margin[flat] + np.where(toxic_word | (turn == 0), telling[flat], 0.0)
@@ -274,25 +280,29 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         np.maximum.at(highest, of_doc, top)
         positive = is_toxic & ((top >= highest[of_doc]) | (telling[best] > TELLING))
         # Words that represented a clean sentence once remain as counterexamples.
-        against = np.concatenate([against, np.unique(best[~is_toxic])])
-        chosen = np.concatenate([best[positive], best[~is_toxic], against])
-        new = np.unique(chosen[~computed[chosen]])
-        for at in range(0, len(new), 2048):
-            part = new[at : at + 2048]
-            features[part] = kernel_sums([names[i] for i in part], basis.T.copy()) @ whiten
-        computed[new] = True
-        label = np.where(np.arange(len(chosen)) < positive.sum(), 1.0, -1.0)
-        w, b = _svm(features[chosen].astype(float), label, seed + turn)
+        against = np.union1d(against, best[~is_toxic])
+        told, often = np.unique(best[positive], return_counts=True)
+        chosen = np.concatenate([told, against])
+        seen = np.bincount(best[~is_toxic], minlength=len(names))
+        weight = np.concatenate([often, 1 + seen[against]]).astype(float)
+        new = np.unique(chosen[row[chosen] < 0])
+        row[new] = len(features) + np.arange(len(new))
+        features = np.concatenate([features, *[
+            kernel_sums([names[i] for i in new[at : at + 1024]], basis) @ whiten
+            for at in range(0, len(new), 1024)
+        ]])
+        label = np.where(np.arange(len(chosen)) < len(told), 1.0, -1.0)
+        w, b = _svm(features[row[chosen]], label, weight, seed + turn)
         weights = _subsequence_weights(basis, whiten, w)
         margin = np.concatenate([
-            kernel_sums(names[at : at + 65536], weights) for at in range(0, len(names), 65536)
+            kernel_sums(names[at : at + 16384], weights) for at in range(0, len(names), 16384)
         ]).astype(float) + b
         tops = np.full(len(texts), -np.inf)
         np.maximum.at(tops, of_doc, np.maximum.reduceat(margin[flat], where))
         if turn > 2 and (tops[y == 0] > 0).mean() <= VIOLATORS:
             break
-    made = Model(weights, float(b), 1.0, 0.0)
-    slope, shift = _calibrated(highest_margins([t or "" for t in texts], made), y)
+    tops = np.where(np.isfinite(tops), tops, min(float(b), -1.0))
+    slope, shift = _calibrated(tops, y)
     return Model(weights, float(b), slope, shift)
 
 
@@ -306,7 +316,7 @@ def _first_best(margin: np.ndarray, where: np.ndarray, top: np.ndarray, flat: np
 
 def _subsequence_weights(basis: np.ndarray, whiten: np.ndarray, w: np.ndarray) -> np.ndarray:
     """What each subsequence adds to a margin; those that hold a blank add nothing."""
-    weights = (basis.T @ (whiten @ w)).astype(np.float32)
+    weights = (basis @ (whiten @ w)).astype(np.float32)
     grid = weights.reshape(LETTERS, LETTERS, LETTERS)
     grid[0] = grid[:, 0] = grid[:, :, 0] = 0
     return weights
