@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackside.llm import filters, tables, textscan
@@ -19,7 +19,7 @@ CELLS = 1 << 20
 #: Parts into which the suffix filter deals a set.
 PARTS = 64
 #: Rounds in which every list of a shared n-gram is compared to two of its members only.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 CLASS_BITS = np.uint64(56)
 
 
@@ -122,13 +122,13 @@ def _signatures(docs: DataFrame, size: int, percent: int, rarity: np.ndarray) ->
 class _Sets:
     """The whole sets of the representatives that some candidate pair needs."""
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, size: int, rarity: np.ndarray) -> None:
-        self.docs, self.reps, self.size = docs, reps, size
+    def __init__(self, docs: DataFrame, size: int, rarity: np.ndarray) -> None:
+        self.docs, self.size = docs, size
         self.rarity = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def of(self, nodes: DataFrame) -> DataFrame:
         """(rep, codes) for the representatives in ``nodes`` (rep); texts stay where they are."""
-        rows = keep(nodes.join(self.reps.select("rep", "row"), "rep").select("rep", "row"), "needed")
+        rows = keep(nodes.select("rep", F.col("rep").alias("row")), "needed")
         blocks = filters.blocks_for(rows.count())
         bloom = filters.seen(rows, "row", blocks)
         near = filters.flagged(self.docs, bloom, F.col("row"), blocks, "needed").filter("needed")
@@ -215,15 +215,13 @@ def near_duplicates(
 
     1. in each list of a shared n-gram every member is paired to two members, one of them that with
        the fewest n-grams of its own; the pairs are verified once, and what links is one component;
-    2. this is done again for lists that still hold several components;
-    3. then all pairs of a list from different components that pass the length and position filters are
+    2. then all pairs of a list from different components that pass the length and position filters are
        verified. Pairs within a component cannot change it, so none is needed.
 
     So a group of near copies costs a few pairs per member instead of all pairs, and no link between
     components is missed: there is no cap. Rows that repeat an id count as documents of
     their own, and take the id's component. A null id comes after the others.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"),
         F.col(f"`{text_col}`").alias("text"),
@@ -238,12 +236,7 @@ def near_duplicates(
         ).select("digest", "members", F.col("best.row").alias("rep"), F.col("best.id").alias("class_id")),
         "classes",
     )
-    reps = keep(
-        signed.join(classes.select(F.col("rep").alias("row")), "row", "left_semi")
-        .withColumn("rep", F.col("row")),
-        "representatives",
-    )
-    links = _links(spark, rows, reps, size, percent, rarity)
+    links = _links(rows, _representatives(signed, classes, total), size, percent, rarity)
     found = components(links)
     named = classes.select("rep", "class_id").join(
         found.withColumnRenamed("node", "rep"), "rep"
@@ -278,6 +271,24 @@ def near_duplicates(
     )
 
 
+def _representatives(signed: DataFrame, classes: DataFrame, total: int) -> DataFrame:
+    """The signatures of the first row of each set, as ``rep``; the others are held back by a filter.
+
+    Most rows are the only one of their set, so the few copies are looked for and the prefixes stay where they are.
+    """
+    groups = classes.filter("members > 1")
+    copies = keep(
+        attach(signed.select("row", "digest"), groups, "digest", "members", total)
+        .filter("row <> rep").select(F.col("row").alias("copy")),
+        "copies",
+    )
+    blocks = filters.blocks_for(copies.count())
+    bloom = filters.seen(copies, "copy", blocks)
+    marked = filters.flagged(signed.filter("n > 0"), bloom, F.col("row"), blocks, "maybe")
+    unsure = marked.filter("maybe").join(copies, F.col("row") == F.col("copy"), "left_anti")
+    return marked.filter("not maybe").unionByName(unsure).drop("maybe").withColumn("rep", F.col("row"))
+
+
 def survivors(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
     percent: int = 80,
@@ -323,16 +334,21 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(
-    spark: SparkSession, rows: DataFrame, reps: DataFrame, size: int, percent: int,
-    rarity: np.ndarray,
+    rows: DataFrame, reps: DataFrame, size: int, percent: int, rarity: np.ndarray
 ) -> DataFrame:
     """Verified pairs (a, b) of representatives that connect what links connect."""
-    sets = _Sets(rows, reps, size, rarity)
+    sets = _Sets(rows, size, rarity)
+    postings = reps.select("rep", "n", F.posexplode("prefix").alias("place", "token"))
+    lists = reps.select(F.explode("prefix").alias("token")).groupBy("token")
+    shared = keep(lists.agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared")
+    # N-grams of one document alone are most of all; a filter keeps them from moving again.
+    blocks = filters.blocks_for(shared.count())
+    bloom = filters.seen(shared, "token", blocks)
     postings = keep(
-        reps.select("rep", "n", F.posexplode("prefix").alias("place", "token")), "postings"
+        filters.flagged(postings, bloom, F.col("token"), blocks, "maybe").filter("maybe").drop("maybe"),
+        "postings",
     )
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
-    shared = keep(lists.filter("members > 1"), "shared")
+    reps = keep(reps.select("rep", "n", "parts"), "representatives")
     total = max(1, shared.agg(F.sum("members")).first()[0] or 1)
     # The postings of n-grams that two representatives share at least; each its own component yet.
     own = Window.partitionBy("rep").orderBy("place")
