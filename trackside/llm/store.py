@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.session import scratch_path
@@ -10,9 +13,18 @@ from trackside.session import scratch_path
 ROW = "__row"
 
 
+def _with_folder(spark: SparkSession) -> SparkSession:
+    """Give a session on this machine alone a folder, if none is named; a cluster must name one."""
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) is None and not context.getCheckpointDir():
+        if re.fullmatch(r"local(\[.*\])?", context.master):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="trackside-"))
+    return spark
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table written to the shared folder: computed once, safe from lost executors."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(_with_folder(df.sparkSession), name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
