@@ -236,7 +236,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """
     y = np.array(labels)
     number: dict[str, int] = {}
-    lengths, of_doc, flat = array("l"), array("l"), array("l")
+    lengths, of_doc, flat = array("i"), array("i"), array("i")
     toxic, clean = Counter(), Counter()
     for d, text in enumerate(texts):
         held = set()
@@ -259,21 +259,21 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     keep = values > SMALLEST * values.max()
     whiten = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
-    lengths, of_doc, flat = (np.array(x, np.int64) for x in (lengths, of_doc, flat))
+    lengths, of_doc, flat = (np.frombuffer(x, np.int32) for x in (lengths, of_doc, flat))
     where = np.cumsum(lengths) - lengths
     is_toxic = y[of_doc] == 1
     # How much more often toxic texts hold a word.
     telling = np.array([
         np.log((toxic[i] + 0.2) / n_toxic) - np.log((clean[i] + 1) / n_clean)
         for i in range(len(names))
-    ])
-    margin = np.zeros(len(names))
+    ], np.float32)
+    margin = np.zeros(len(names), np.float32)
     toxic_word = np.repeat(is_toxic, lengths)
     features = np.zeros((0, whiten.shape[1]), np.float32)
     row = np.full(len(names), -1)
     against = np.zeros(0, np.int64)
     for turn in range(ROUNDS):
-        value = margin[flat] + np.where(toxic_word | (turn == 0), telling[flat], 0.0)
+        value = margin[flat] + np.where(toxic_word | (turn == 0), telling[flat], np.float32(0))
         top = np.maximum.reduceat(value, where)
         best = _first_best(value, where, top, flat)
         highest = np.full(len(texts), -np.inf)
@@ -296,7 +296,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         weights = _subsequence_weights(basis, whiten, w)
         margin = np.concatenate([
             kernel_sums(names[at : at + 16384], weights) for at in range(0, len(names), 16384)
-        ]).astype(float) + b
+        ]) + np.float32(b)
         tops = np.full(len(texts), -np.inf)
         np.maximum.at(tops, of_doc, np.maximum.reduceat(margin[flat], where))
         if turn > 2 and (tops[y == 0] > 0).mean() <= VIOLATORS:
