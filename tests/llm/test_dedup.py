@@ -105,6 +105,30 @@ def test_near_duplicates_are_those_of_all_pairs(spark, stored):
         assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute_groups(docs, size, percent)
 
 
+def test_near_duplicates_when_scans_are_dealt_anew(spark, stored, monkeypatch):
+    """Each table that is stored changes how the next scan deals its files to tasks."""
+    docs = list(enumerate([*near_texts(1, 90, 60), *near_texts(2, 60, 12), "", None]))
+    df = stored(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(12), "dealt")
+    whole, setting, turn = jaccard_join.keep, "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(setting)
+
+    def shifting(made, name):
+        out = whole(made, name)
+        turn.append(name)
+        spark.conf.set(setting, ("1k", "64m", "4m")[len(turn) % 3])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "keep", shifting)
+    try:
+        found = jaccard_join.near_duplicates(df, size=4, percent=85).collect()
+        stay = sorted(r.doc_id for r in jaccard_join.survivors(df, size=4, percent=85).collect())
+    finally:
+        spark.conf.set(setting, before)
+    wanted = brute_groups(docs, 4, 85)
+    assert {r.id: (r.n_shingles, r.component_id) for r in found} == wanted
+    assert stay == sorted({root for _, root in wanted.values()})
+
+
 def test_near_duplicates_of_odd_documents(odd_docs, no_docs, stored):
     docs = stored(odd_docs, "odd")
     found = jaccard_join.near_duplicates(docs).collect()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trackside.llm import filters, tables, textscan
 from trackside.llm.components import components
 from trackside.llm.groups import attach
-from trackside.llm.store import keep, packed, unpacked
+from trackside.llm.store import ROW, keep, packed, unpacked
 
 #: Cells in which n-grams are counted; their number does not depend on the corpus.
 CELLS = 1 << 20
@@ -207,7 +207,7 @@ def near_duplicates(
     link when ``100 * |intersection| >= percent * |union|``; an empty set links with nothing.
     ``class_id`` is the smallest id with the same set, ``component_id`` the smallest
     id that links reach, the own one included; ``kept`` marks one row of each component, its
-    first. ``docs`` is read more than once and should be a stored table; ``row`` numbers its rows.
+    first. ``docs`` is read once: its ids, texts and ``row``, the number of a row, are stored and read from there.
 
     n-grams are counted over all documents in a table of fixed size, whose classes put rare
     ones first; any such order gives the same result, a good one short lists. Equal sets are
@@ -226,6 +226,15 @@ def near_duplicates(
         F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"),
         F.col(f"`{text_col}`").alias("text"),
     )
+    return _judged(keep(rows, "numbered"), size, percent)
+
+
+def _judged(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of stored rows ``id, row, text``.
+
+    A scan must not number its rows again: how files are dealt to tasks, and so the numbers, depends on
+    settings and on the cores that are registered when it is planned.
+    """
     rarity = _rarity(rows, size)
     signed = keep(_signatures(rows, size, percent, rarity), "signatures")
     total = signed.count()
@@ -295,13 +304,19 @@ def survivors(
 ) -> DataFrame:
     """One document of each component, the first, with all its columns; empty sets all stay.
 
-    Texts stay where they are, but for those that a filter of the dropped rows holds back to check.
+    Rows are stored once with their numbers, as ``docs`` is read once; from there texts stay where they are,
+    but for those that a filter of the dropped rows holds back to check.
     """
-    judged = near_duplicates(docs, id_col, text_col, size, percent)
+    rows = keep(packed(docs, __row_id=F.monotonically_increasing_id()), "numbered")
+    judged = _judged(
+        rows.select(
+            F.col(ROW)[id_col].alias("id"), F.col("__row_id").alias("row"), F.col(ROW)[text_col].alias("text")
+        ),
+        size, percent,
+    )
     dropped = keep(judged.filter("not kept").select(F.col("row").alias("__gone")), "dropped")
     blocks = filters.blocks_for(dropped.count())
     bloom = filters.seen(dropped, "__gone", blocks)
-    rows = packed(docs, __row_id=F.monotonically_increasing_id())
     marked = filters.flagged(rows, bloom, F.col("__row_id"), blocks, "__maybe")
     unsure = marked.filter("__maybe").join(dropped, F.col("__row_id") == F.col("__gone"), "left_anti")
     return unpacked(marked.filter("not __maybe").unionByName(unsure))
