@@ -6,6 +6,7 @@ import random
 import re
 from itertools import combinations
 
+from pyspark.sql import functions as F
 
 from trackside.llm import exact_dedup, jaccard_join, line_dedup
 
@@ -105,6 +106,41 @@ def test_near_duplicates_are_those_of_all_pairs(spark, stored):
         assert {r.id: (r.n_shingles, r.component_id) for r in found} == brute_groups(docs, size, percent)
 
 
+def test_links_are_all_pairs(spark, stored, monkeypatch):
+    """Many different near copies, a chain, equal sets and repeated ids: no pair is left out."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    docs = list(enumerate([*near_texts(3, 70, 60), *near_texts(4, 30, 12), "", None, "a b", "A  b", "a"]))
+    docs.append((3, "a b"))
+    base = " ".join(f"u{i}" for i in range(60))
+    docs += [(200 + i, f"{base} end{i}") for i in range(12)]
+    docs += [(300 + i, " ".join(f"c{j}" for j in range(i, i + 80))) for i in range(0, 20, 2)]
+    size, percent = 4, 85
+    df = stored(spark.createDataFrame(docs, "doc_id bigint, text string"), "linked")
+    members, pairs = (x.collect() for x in jaccard_join.links(df, size=size, percent=percent))
+    text = {r.row: r.text for r in df.withColumn("row", F.monotonically_increasing_id()).collect()}
+    sets = {}
+    for row, said in text.items():
+        words = (said or "").lower().split()
+        grams = {tuple(words[j : j + size]) for j in range(len(words) - size + 1)}
+        sets[row] = frozenset(grams or ({tuple(words)} if words else ()))
+
+    def near(x, y):
+        return bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
+
+    assert {r.row: r.n_links for r in members} == {
+        i: sum(near(sets[i], sets[j]) for j in sets if j != i) for i in sets
+    }
+    reps = {r.class_row for r in members}
+    assert all(sets[r.row] == sets[r.class_row] for r in members)
+    found = [(r.a, r.b) for r in pairs]
+    assert len(found) == len(set(found))
+    assert set(found) == {(i, j) for i, j in combinations(sorted(reps), 2) if near(sets[i], sets[j])}
+    groups = {r.row: r.component_id for r in jaccard_join.near_duplicates(df, size=size, percent=percent).collect()}
+    assert all(groups[a] == groups[b] for a, b in found)
+    ids = {r.row: r.id for r in members}
+    assert sum(200 <= ids[a] < 212 and 200 <= ids[b] < 212 for a, b in found) == 12 * 11 // 2
+
+
 def test_near_duplicates_when_scans_are_dealt_anew(spark, stored, monkeypatch):
     """Each table that is stored changes how the next scan deals its files to tasks."""
     docs = list(enumerate([*near_texts(1, 90, 60), *near_texts(2, 60, 12), "", None]))

@@ -20,6 +20,8 @@ CELLS = 1 << 20
 PARTS = 64
 #: Rounds in which every list of a shared n-gram is compared to two of its members only.
 STAR_ROUNDS = 1
+#: Members of a list that are compared to as many others in one place.
+BLOCK = 500
 CLASS_BITS = np.uint64(56)
 
 
@@ -235,16 +237,7 @@ def _judged(rows: DataFrame, size: int, percent: int) -> DataFrame:
     A scan must not number its rows again: how files are dealt to tasks, and so the numbers, depends on
     settings and on the cores that are registered when it is planned.
     """
-    rarity = _rarity(rows, size)
-    signed = keep(_signatures(rows, size, percent, rarity), "signatures")
-    total = signed.count()
-    order = F.struct(F.col("id").isNull(), "id", "row")
-    classes = keep(
-        signed.filter("n > 0").groupBy("digest").agg(
-            F.min(order).alias("best"), F.count(F.lit(1)).alias("members")
-        ).select("digest", "members", F.col("best.row").alias("rep"), F.col("best.id").alias("class_id")),
-        "classes",
-    )
+    rarity, signed, classes, total = _classes(rows, size, percent)
     links = _links(rows, _representatives(signed, classes, total), size, percent, rarity)
     found = components(links)
     named = classes.select("rep", "class_id").join(
@@ -280,6 +273,80 @@ def _judged(rows: DataFrame, size: int, percent: int) -> DataFrame:
     )
 
 
+def _classes(
+    rows: DataFrame, size: int, percent: int
+) -> tuple[np.ndarray, DataFrame, DataFrame, int]:
+    """The classes of counts, the signatures of ``rows``, one row for each set that is not empty, and the number of rows."""
+    rarity = _rarity(rows, size)
+    signed = keep(_signatures(rows, size, percent, rarity), "signatures")
+    total = signed.count()
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    classes = keep(
+        signed.filter("n > 0").groupBy("digest").agg(
+            F.min(order).alias("best"), F.count(F.lit(1)).alias("members")
+        ).select("digest", "members", F.col("best.row").alias("rep"), F.col("best.id").alias("class_id")),
+        "classes",
+    )
+    return rarity, signed, classes, total
+
+
+def links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
+    percent: int = 80,
+) -> tuple[DataFrame, DataFrame]:
+    """The similarity join: (members, pairs), for the links that ``near_duplicates`` speaks of.
+
+    ``members`` has one row for each document: ``id, row, n_shingles, class_row, class_id, n_links``.
+    Documents with the same set are one class, named by its first row; ``n_links`` counts the other
+    documents that link with this one, those of its class included. ``pairs`` has each two classes that
+    link once, ``a, b, id_a, id_b`` with class rows ``a < b``. No pair is left out, and so a group of k
+    different near copies costs and gives up to k * (k - 1) / 2 pairs; ``near_duplicates`` needs fewer for its groups.
+    """
+    rows = keep(
+        docs.select(
+            F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"),
+            F.col(f"`{text_col}`").alias("text"),
+        ),
+        "numbered",
+    )
+    rarity, signed, classes, total = _classes(rows, size, percent)
+    found = _all_links(rows, _representatives(signed, classes, total), size, percent, rarity)
+    both = keep(found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both")
+    degrees = both.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    named = keep(
+        classes.join(degrees.withColumnRenamed("a", "rep"), "rep").select("rep", "class_id", "members", "degree"),
+        "linked",
+    )
+    ends = max(1, both.count())
+    others = attach(
+        both, named.select(F.col("rep").alias("b"), "members", "degree"), "b", "degree", ends
+    ).groupBy("a").agg(F.sum("members").alias("others"))
+    counted = keep(
+        classes.join(others.withColumnRenamed("a", "rep"), "rep", "left").select(
+            "digest", "members", "class_id", "rep",
+            (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+        ),
+        "counted",
+    )
+    alone = signed.filter("n = 0").select(
+        "id", "row", "n", F.col("row").alias("rep"), F.col("id").alias("class_id"),
+        F.lit(0).cast("bigint").alias("n_links"),
+    )
+    members = attach(
+        signed.filter("n > 0").select("id", "row", "n", "digest"), counted, "digest", "members", total
+    ).select("id", "row", "n", "rep", "class_id", "n_links").unionByName(alone).select(
+        "id", "row", F.col("n").cast("bigint").alias("n_shingles"), F.col("rep").alias("class_row"),
+        "class_id", "n_links",
+    )
+
+    def end(side: str) -> DataFrame:
+        return named.select(F.col("rep").alias(side), F.col("class_id").alias(f"id_{side}"), "degree")
+
+    one = attach(found, end("a"), "a", "degree", ends).drop("degree")
+    pairs = attach(one, end("b"), "b", "degree", ends).select("a", "b", "id_a", "id_b")
+    return members, pairs
+
+
 def _representatives(signed: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     """The signatures of the first row of each set, as ``rep``; the others are held back by a filter.
 
@@ -348,11 +415,11 @@ def _possible(pairs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links(
-    rows: DataFrame, reps: DataFrame, size: int, percent: int, rarity: np.ndarray
-) -> DataFrame:
-    """Verified pairs (a, b) of representatives that connect what links connect."""
-    sets = _Sets(rows, size, rarity)
+def _shared_postings(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Postings of n-grams that two representatives share at least, each its own component yet.
+
+    With them the lists' sizes, what every representative carries, and the number of postings.
+    """
     postings = reps.select("rep", "n", F.posexplode("prefix").alias("place", "token"))
     lists = reps.select(F.explode("prefix").alias("token")).groupBy("token")
     shared = keep(lists.agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared")
@@ -365,7 +432,6 @@ def _links(
     )
     reps = keep(reps.select("rep", "n", "parts"), "representatives")
     total = max(1, shared.agg(F.sum("members")).first()[0] or 1)
-    # The postings of n-grams that two representatives share at least; each its own component yet.
     own = Window.partitionBy("rep").orderBy("place")
     live = keep(
         attach(postings, shared, "token", "members", total).select(
@@ -374,6 +440,42 @@ def _links(
         ),
         "live",
     )
+    return live, shared, reps, total
+
+
+def _all_links(
+    rows: DataFrame, reps: DataFrame, size: int, percent: int, rarity: np.ndarray
+) -> DataFrame:
+    """All pairs (a, b) of representatives that link, each once, ``a`` the smaller row.
+
+    Every pair of a list that passes the length and position filters is verified. A list is dealt into
+    blocks of about ``BLOCK`` members; two blocks, or one with itself, are the most that meets in a task.
+    """
+    live, shared, reps, total = _shared_postings(reps)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    sized = attach(live, shared.select("token", "members"), "token", "members", total)
+    own = F.pmod(F.xxhash64("x.rep"), blocks).cast("int")
+    dealt = sized.select("token", "x", own.alias("own"), blocks.alias("blocks")).select(
+        "token", "x", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    cells = keep(
+        dealt.select(
+            "token", "x", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+        ),
+        "cells",
+    )
+    left = cells.filter("own = low")
+    right = cells.filter("own = high").withColumnRenamed("x", "y").drop("own")
+    met = left.join(right, ["token", "low", "high"]).filter("low < high or x.rep < y.rep")
+    return _verified(keep(_possible(met, percent), "pairs"), reps, _Sets(rows, size, rarity), percent)
+
+
+def _links(
+    rows: DataFrame, reps: DataFrame, size: int, percent: int, rarity: np.ndarray
+) -> DataFrame:
+    """Verified pairs (a, b) of representatives that connect what links connect."""
+    sets = _Sets(rows, size, rarity)
+    live, _, reps, total = _shared_postings(reps)
     tested = links = None
     for turn in range(STAR_ROUNDS):
         mark = F.xxhash64("x.rep", F.lit(turn))
