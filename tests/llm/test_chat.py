@@ -59,3 +59,17 @@ def test_rows_become_conversations(spark):
     assert found[2] == [("", "")]
     assert found[None] == [("as\nsistant<|", "x" * 200_000)]
     assert chat.conversations(df.limit(0)).count() == 0
+
+
+def test_a_turn_longer_than_the_parser_takes_stays(spark):
+    text = F.when(F.col("id") == 1, F.repeat(F.lit("y"), 20_000_100)).otherwise("ok")
+    role = F.when(F.col("id") == 2, "assistant").otherwise("user")
+    rows = spark.range(3).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    found = chat.conversations(rows).select(
+        F.transform("turns", lambda t: F.struct(t["role"], F.char_length(t["text"]))).alias("said"),
+        F.char_length("formatted").alias("chars"), "loss_spans",
+    ).first()
+    assert [tuple(t) for t in found.said] == [("user", 2), ("user", 20_000_100), ("assistant", 2)]
+    marks = 3 * (len(chat.START) + 1 + len(chat.END)) + len("useruserassistant")
+    assert found.chars == marks + 20_000_104
+    assert [(s.start, s.end) for s in found.loss_spans] == [(found.chars - len(chat.END) - 2, found.chars - len(chat.END))]

@@ -127,8 +127,8 @@ def canonical_turns(
 
     A record is a JSON text. The hash of its nested field paths selects the layout, whose
     declared mapping gives the turns; null roles and texts become empty. A record that is null, no JSON
-    or of no declared layout keeps its row with null turns; ``undeclared`` lists what to declare. JSON of
-    more bytes than a variant holds (16 MB) counts as no JSON.
+    or of no declared layout keeps its row with null turns; ``undeclared`` lists what to declare. JSON with
+    a string of more than 20,000,000 characters, or of more bytes than a variant holds (128 MiB), counts as no JSON.
     """
     record = F.col(f"`{record_col}`")
     variant = F.try_parse_json(record)
@@ -223,6 +223,7 @@ def conversations(
 
     Each row is a record of its own; its turns are put together in order of the turn
     number, nulls first, then role and text, so that repeated rows have a defined place. A null id is one conversation.
+    A row too long to be parsed as a record gives its turn from the columns themselves.
     """
     record = F.to_json(
         F.struct(F.col(f"`{role_col}`").alias("role"), F.col(f"`{text_col}`").alias("text")),
@@ -231,9 +232,14 @@ def conversations(
     records = rows.select(
         F.col(f"`{id_col}`").alias("conv_id"), F.col(f"`{turn_col}`").alias("turn"),
         record.alias("record"),
+        F.struct(*[
+            F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
+            for c, name in ((role_col, "role"), (text_col, "text"))
+        ]).alias("own"),
     )
+    said = F.coalesce(F.col("turns")[0], "own")
     single = canonical_turns(records, "record").select(
-        "conv_id", F.struct("turn", F.col("turns")[0].alias("said")).alias("item")
+        "conv_id", F.struct("turn", said.alias("said")).alias("item")
     )
     whole = single.groupBy("conv_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
     turns = whole.select("conv_id", F.col("items.said").alias("turns"))
