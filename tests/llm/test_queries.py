@@ -14,4 +14,4 @@ def test_query_matches_sql(spark, small_dir, small_db, name):
 
 
 def test_every_operator_has_one_query():
-    assert [q.split("_")[0] for q in queries.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.queries()] == [f"op{n}" for n in range(1, 14)]

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.llm import (
-    chat, decontaminate, exact_dedup, jaccard_join, kd_shards, line_dedup, packing, secrets,
-    token_counts, toxicity,
+    chat, decontaminate, exact_dedup, hard_negatives, importance, jaccard_join, kd_shards, line_dedup,
+    packing, secrets, token_counts, toxicity, warc,
 )
 from trackside.session import scratch_path
 
@@ -140,9 +140,34 @@ def _of_kind(name: str) -> Callable[[Column], Column]:
     return lambda s: s["kind"] == name
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as records of archives, and what a reader finds in these."""
+    pages = table(spark, sf_dir, "pages")
+    records = warc.read_archives(warc.write_archives(pages, scratch_path(spark, "archives")))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem"
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    made = importance.resample(docs, target, percent=10, seed=2024, longest=1, least_words=20)
+    return made.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row's label is wrong on purpose."""
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    wanted = hard_negatives.Wanted(positives=5, negatives=10, low=30, high=90)
+    return hard_negatives.mine(
+        table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, wanted, label
+    )
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_line_dedup, op2_chat_formatting, op3_ngram_jaccard_join, op4_exact_dedup,
         op5_decontamination, op6_toxicity, op7_token_counts, op8_kd_sharding, op9_packing, op10_secret_scans,
+        op11_warc, op12_importance_resampling, op13_hard_negatives,
     )
     return {f.__name__: f for f in every}

@@ -137,8 +137,107 @@ select doc_id, first_value(doc_id) over w as keep_id,
 from d window w as (partition by text_sha256 order by n desc, doc_id)
 """
 
+WARC = """
+with digests as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+    sha1(coalesce(html, '')) as hex, min(page_id) over (partition by coalesce(html, '')) as first
+  from pages
+)
+select page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8))) & 31)::int, 1)
+    for i in range(32)], '') as payload_digest,
+  if(page_id = first, 'response', 'revisit') as record_type,
+  if(page_id = first, null, first) as refers_to,
+  null::varchar as problem
+from digests
+"""
+
+RESAMPLING = """
+with recursive bits as (
+  select n, 0 as k, n::bigint as c from range(256) t(n)
+  union all
+  select n, k + 1, if((c & 1) = 1, xor(c >> 1, 3988292384), c >> 1) from bits where k < 8
+),
+crc as (select list(c order by n) as steps from bits where k = 8),
+split as (
+  select 'd' as kind, doc_id as id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+  union all
+  select 'b', item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')
+  from benchmark
+),
+said as (select kind, id, unnest(w) as word from split),
+vocabulary as (select word, hex(encode(word)) as code from (select distinct word from said)),
+buckets as (
+  select word, xor(4294967295, list_reduce(
+      list_prepend(4294967295::bigint, [('0x' || substr(code, 2 * i - 1, 2))::bigint
+        for i in range(1, 1 + length(code) // 2)]),
+      lambda c, b: xor(steps[1 + (xor(c, b) & 255)], c >> 8))) % 10000 as bucket
+  from vocabulary, crc
+),
+hits as (select kind, id, bucket from said join buckets using (word)),
+totals as (
+  select count(*) filter (kind = 'd') as all_s, count(*) filter (kind = 'b') as all_t from hits
+),
+gains as (
+  select bucket, floor(1000 * ln((count(*) filter (kind = 'b') + 1) * (any_value(all_s) + 10000)
+    / ((count(*) filter (kind = 'd') + 1) * (any_value(all_t) + 10000))))::bigint as gain
+  from hits, totals group by bucket
+),
+weighed as (
+  select id, floor(sum(gain) / count(*))::bigint as weight
+  from hits join gains using (bucket) where kind = 'd' group by id
+),
+scored as (
+  select s.id as doc_id, len(w) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || s.id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from split s left join weighed using (id) where kind = 'd'
+),
+placed as (
+  select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n
+  from scored where n_features >= 20
+)
+select s.*, place as rank
+from scored s left join placed p on p.doc_id = s.doc_id and place <= 10 * n // 100
+"""
+
+HARD_NEGATIVES = """
+with vectors as (
+  select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+    [floor(256 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+),
+scores as (
+  select a.vec_id as anchor_id, a.label as anchor_label, r.vec_id, r.label,
+    list_sum([a.v[i] * r.v[i] for i in range(1, 1 + len(a.v))])::bigint as score
+  from vectors a join vectors r on r.vec_id <> a.vec_id
+  where a.vec_id % 100 = 0
+),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from scores where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id,
+  row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positives p join scores s
+  on s.anchor_id = p.anchor_id and label <> anchor_label
+  and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
 
 def statements() -> dict[str, str]:
     return {"op1_line_dedup": LINE_DEDUP, "op2_chat_formatting": CHAT,
             "op3_ngram_jaccard_join": JACCARD, "op4_exact_dedup": EXACT_DEDUP,
-            "op5_decontamination": DECONTAMINATION}
+            "op5_decontamination": DECONTAMINATION, "op11_warc": WARC,
+            "op12_importance_resampling": RESAMPLING, "op13_hard_negatives": HARD_NEGATIVES}
