@@ -32,6 +32,8 @@ DICTIONARY_SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 1 << 13, 1 << 15
 LEVEL = 3
 #: Bytes that are read, hashed or compressed at once.
 STEP = 1 << 16
+#: At most so many tasks read archives; beyond that a task reads several, one after the other.
+READERS = 50_000
 #: A record's header block is no longer than this.
 HEADER_BYTES = 1 << 20
 _RECORDS_AT_ONCE = 1000
@@ -474,4 +476,5 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([{c: r[c] for c in columns} for r in rows], arrow)
 
     files = archives.select("file")
-    return files.repartition(F.col("file")).mapInArrow(run, schema)
+    # By number: the names are too small for Spark to leave them in more than one task by itself.
+    return files.repartition(max(1, min(READERS, files.count()))).mapInArrow(run, schema)
