@@ -8,6 +8,7 @@ import sys
 import tempfile
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,8 +22,8 @@ from trackside.operators import quality  # noqa: E402
 from trackside.plans import marts, reports  # noqa: E402
 from trackside.plans.pipeline import Pipeline  # noqa: E402
 from trackside.schemas import NATURAL_KEYS, RAW, SOURCE  # noqa: E402
-from trackside.session import apply_settings, scratch_path  # noqa: E402
-from trackside.sources import landing, loading, shaping  # noqa: E402
+from trackside.session import apply_settings, scratch_path, settled  # noqa: E402
+from trackside.sources import batches, landing, loading, loads, shaping  # noqa: E402
 from trackside.streaming import incremental_session_append  # noqa: E402
 
 # The subpackage for text corpora and its pipeline are optional: without them the rest works.
@@ -135,11 +136,12 @@ def append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The source feeds as landed tables."""
     feeds = fixtures.Sources(spark, sf_dir).feeds()
-    return {name: feeds[name] for name in ("events", "results", "laps", "weather", "schedule")}
+    return {name: settled(feeds[name]) for name in ("events", "results", "laps", "weather", "schedule")}
 
 
-LOADED_AT = datetime(2002, 1, 1)
+LOADED_AT, RELOADED_AT = datetime(2002, 1, 1), datetime(2003, 1, 1)
 
 
 def load_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,13 +183,41 @@ def backfill_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pit stops as stored after a backfill where only first rounds had theirs."""
     root, raw = scratch_path(spark, "raw"), _raw(spark, sf_dir, ["laps"])
     for feed in ("sessions", "laps"):
-        landing.replace_sessions(raw[feed], f"{root}/raw_{feed}", RAW[feed])
+        landing.replace_sessions(raw[feed], root, feed)
     first = raw.pit_stops.filter(F.split_part("session_id", F.lit("_"), F.lit(2)) == "1")
-    landing.replace_sessions(first, f"{root}/raw_pit_stops", RAW["pit_stops"])
+    landing.replace_sessions(first, root, "pit_stops")
     loading.backfill_pit_stops(spark, root)
     return _local_time(landing.read_raw(spark, root, "pit_stops"))
 
 
+def reload_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pit stops as stored after 1997 was loaded again from feeds that lost their laps of odd rounds."""
+    root, feeds = scratch_path(spark, "raw"), _load_feeds(spark, sf_dir)
+    loading.load_sessions(spark, feeds, root, LOADED_AT)
+    kept = F.split_part("session_id", F.lit("_"), F.lit(2)).cast("int") % 2 == 0
+    worklist = loading.expected_grid(_season_rounds(spark, sf_dir)).filter("season = 1997")
+    loading.load_sessions(spark, {**feeds, "laps": feeds["laps"].filter(kept)}, root, RELOADED_AT, worklist)
+    return _local_time(landing.read_raw(spark, root, "pit_stops"))
+
+
+def reload_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each raw table as two readers see them, one from before and one from after a reload."""
+    root, feeds = scratch_path(spark, "raw"), _load_feeds(spark, sf_dir)
+    loading.load_sessions(spark, feeds, root, LOADED_AT)
+    before = loads.Snapshot(spark, root)
+    worklist = loading.expected_grid(_season_rounds(spark, sf_dir)).filter("season = 1997")
+    emptied = {name: feeds[name].filter("session_id not like '1997%'") for name in ("results", "laps")}
+    loading.load_sessions(spark, {**feeds, **emptied}, root, RELOADED_AT, worklist)
+    counts = [
+        reader.read(feed).groupBy(F.lit(state).alias("state"), F.lit(feed).alias("feed")).agg(
+            F.count(F.lit(1)).alias("row_count")
+        )
+        for state, reader in (("before", before), ("after", loads.Snapshot(spark, root)))
+        for feed in RAW
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings, the second with sessions of the first again, through the stream."""
     root = scratch_path(spark, "stream")
@@ -202,6 +232,29 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local_time(landing.read_raw(spark, root, "pit_stops"))
 
 
+def batches_thrice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results three times under three names: what the table holds and what it keeps apart.
+
+    Some results have no session or one that names no season, some lack the driver.
+    """
+    path, key = scratch_path(spark, "batches"), F.col("l_orderkey")
+    results = _raw(spark, sf_dir).results
+    odd = results.withColumn(
+        "session_id", F.when(key % 13 == 0, F.concat(F.lit("test_"), "session_id")).otherwise(F.col("session_id"))
+    ).withColumn("driver_number", F.when(key % 17 != 0, F.col("driver_number")))
+    rows = settled(landing.conform(odd, RAW["results"]))
+    for name in ("first", "second", "third"):
+        batches.add(rows, path, RAW["results"], NATURAL_KEYS["results"], name)
+    held = [
+        (place, table.groupBy("session_id", "driver_number").agg(F.count(F.lit(1)).alias("row_count")))
+        for place, table in (
+            ("held", batches.read(spark, path, RAW["results"])),
+            ("apart", batches.unplaced(spark, path, RAW["results"])),
+        )
+    ]
+    return reduce(DataFrame.unionByName, [df.withColumn("place", F.lit(place)) for place, df in held])
+
+
 def skip_loaded_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     loaded = raw.sessions.filter("season < 1998")
@@ -402,6 +455,9 @@ def _all_queries() -> dict[str, Query]:
         "load_counts": load_counts,
         "load_weekend": load_weekend,
         "load_latest": load_latest,
+        "reload_emptied": reload_emptied,
+        "reload_states": reload_states,
+        "batches_thrice": batches_thrice,
         "backfill_stored": backfill_stored,
         "incremental_session_append": stream_sessions,
         "skip_loaded_sessions": skip_loaded_sessions,

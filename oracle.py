@@ -396,6 +396,36 @@ STATEMENTS: dict[str, str] = {
       where round_number = (select max(o.round_number) from raw_sessions o
                             where o.season = s.season and o.session_type = 'R'
                               and o.session_date < date '1998-06-15')""",
+    "reload_emptied": """
+      select * replace (if(session_id like '1997%', timestamp '2003-01-01', timestamp '2002-01-01') as loaded_at)
+      from raw_pit_stops
+      where session_id not like '1997%' or split_part(session_id, '_', 2)::int % 2 = 0""",
+    "reload_states": """
+      select state, feed, count(*) as row_count
+      from (
+        select 'sessions' as feed, session_id from raw_sessions
+        union all select 'results', session_id from raw_results
+        union all select 'drivers', session_id from raw_results
+        union all select 'laps', session_id from raw_laps
+        union all select 'weather', session_id from raw_weather
+        union all select 'pit_stops', session_id from raw_laps where pit_in_time_seconds is not null
+        union all select 'circuits', session_id from raw_sessions),
+        (values ('before'), ('after')) t(state)
+      where session_id is not null
+        and (state = 'before' or session_id not like '1997%'
+             or feed in ('sessions', 'weather', 'circuits'))
+      group by state, feed""",
+    "batches_thrice": """
+      select place, session_id, driver_number,
+             if(place = 'held' and driver_number is not null, 1, count(*)) as row_count
+      from (
+        select distinct if(coalesce(session_id, 'test') like 'test%', 'apart', 'held') as place, *
+        from (select if(l_orderkey % 13 = 0, 'test_' || session_id, session_id) as session_id,
+                     if(l_orderkey % 17 = 0, null, driver_number) as driver_number,
+                     abbreviation, full_name, team_name, grid_position, finish_position, points,
+                     status, "time"
+              from raw_results))
+      group by place, session_id, driver_number""",
     "backfill_stored": _SCAN["pit_stops"],
     "stg_laps_latest": """
       select r.* from (select arg_max(x, (loaded_at, x::varchar)) as r from stg_laps x

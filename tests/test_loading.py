@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from trackside import fixtures, session
 from trackside.operators import quality
 from trackside.plans.pipeline import MARTS, Pipeline
-from trackside.schemas import RAW, SEASON_ROUNDS
+from trackside.schemas import RAW, SEASON_ROUNDS, SOURCE
 from trackside.session import scratch_path
-from trackside.sources import landing, loading
+from trackside.sources import landing, loading, loads, storage
 
 STAMP = datetime(2002, 1, 1)
 
@@ -32,6 +32,15 @@ def _counts(spark, root):
     return {feed: landing.read_raw(spark, root, feed).count() for feed in RAW}
 
 
+def test_sessions_named_without_rows_lose_what_they_had(spark):
+    root = scratch_path(spark, "raw")
+    stops = [(f"2024_{n}_R", "1", "D1", 1, n, 2.0, STAMP) for n in (1, 2, 3)]
+    landing.replace_sessions(spark.createDataFrame(stops, RAW["pit_stops"]), root, "pit_stops")
+    wanted = spark.createDataFrame([("2024_1_R",), ("2024_2_R",), (None,)], "session_id string")
+    landing.replace_sessions(spark.createDataFrame(stops[:1], RAW["pit_stops"]), root, "pit_stops", sessions=wanted)
+    assert sorted(r.session_id for r in landing.read_raw(spark, root, "pit_stops").collect()) == ["2024_1_R", "2024_3_R"]
+
+
 def test_create_leaves_an_existing_table_alone(spark):
     path = scratch_path(spark, "t")
     landing.create_table(spark, path, RAW["circuits"])
@@ -73,27 +82,100 @@ def _rows(spark, root, feed):
     return sorted(map(repr, landing.read_raw(spark, root, feed).collect()))
 
 
-def test_a_load_that_broke_off_is_completed_by_running_it_again(spark, feeds, monkeypatch):
+def test_a_load_that_broke_off_changes_nothing_and_is_run_again(spark, feeds):
     whole, broken = scratch_path(spark, "raw"), scratch_path(spark, "raw")
     loading.load_sessions(spark, feeds, whole, STAMP)
-    real = landing.replace_sessions
-
-    def stop_before_weather(df, path, *rest):
-        if path.endswith("raw_weather"):
-            raise RuntimeError("executor lost")
-        if path.endswith("raw_laps"):
-            # One file of a session was moved in place, the others were not.
-            df = df.filter("session_id <> '1996_1_R' or lap_number = 1")
-        real(df, path, *rest)
-
-    monkeypatch.setattr(landing, "replace_sessions", stop_before_weather)
-    with pytest.raises(RuntimeError):
-        loading.load_sessions(spark, feeds, broken, STAMP)
-    assert landing.read_raw(spark, broken, "sessions").count() == 0
-    monkeypatch.setattr(landing, "replace_sessions", real)
+    lost = feeds["weather"].withColumn("AirTemp", F.expr("double(raise_error('executor lost'))"))
+    early = {**feeds, "events": feeds["events"].filter("season < 1997")}
+    loading.load_sessions(spark, early, broken, STAMP)
+    before = {feed: _rows(spark, broken, feed) for feed in RAW}
+    with pytest.raises(Exception, match="executor lost"):
+        loading.load_sessions(spark, {**feeds, "weather": lost}, broken, STAMP)
+    assert {feed: _rows(spark, broken, feed) for feed in RAW} == before
     loading.load_sessions(spark, feeds, broken, STAMP)
     for feed in RAW:
         assert _rows(spark, broken, feed) == _rows(spark, whole, feed)
+    # What the broken load has left is found and deleted, and nothing else.
+    assert len(loads.vacuum(spark, broken)) == 1
+    for feed in RAW:
+        assert _rows(spark, broken, feed) == _rows(spark, whole, feed)
+
+
+def _one_session(laps, session="2024_2_R", results=1):
+    """Feeds of one session with so many laps, some of them with a stop, and results."""
+    lap = [(session, "1", "VER", float(n), 90, 1, 1, 1, "SOFT", 1.0, True, 5 if n % 5 == 0 else None, None, "1", None)
+           for n in range(1, laps + 1)]
+    result = [(session, 2024, str(n), f"D{n}", "N", "T", "C", "1", "1", 1.0, "Finished", "t", None) for n in range(results)]
+    event = [(2024, 2, "R", "C", "L", "E", datetime(2024, 3, 9), None)]
+    return event, result, lap
+
+
+def _feeds_of(spark, *args, **options):
+    event, result, lap = _one_session(*args, **options)
+    return {
+        "events": spark.createDataFrame(event, SOURCE["events"]),
+        "results": spark.createDataFrame(result, SOURCE["results"]),
+        "laps": spark.createDataFrame(lap, SOURCE["laps"]),
+        "weather": spark.createDataFrame([], SOURCE["weather"]),
+    }
+
+
+def test_a_feed_that_is_empty_now_keeps_none_of_its_old_rows(spark):
+    root = scratch_path(spark, "raw")
+    work = loading.weekend_worklist(loading.season_rounds(spark), 2024, 2)
+    loading.load_sessions(spark, _feeds_of(spark, 11, results=3), root, STAMP, work)
+    assert _counts(spark, root) == {
+        "sessions": 1, "results": 3, "laps": 11, "pit_stops": 2, "weather": 0, "drivers": 3, "circuits": 1,
+    }
+    reader = loads.Snapshot(spark, root)
+    loading.load_sessions(spark, _feeds_of(spark, 4, results=0), root, STAMP, work)
+    assert _counts(spark, root) == {
+        "sessions": 1, "results": 0, "laps": 4, "pit_stops": 0, "weather": 0, "drivers": 0, "circuits": 1,
+    }
+    # A reader that began before sees the old rows of all feeds.
+    assert {feed: reader.read(feed).count() for feed in ("results", "laps", "pit_stops", "drivers")} == {
+        "results": 3, "laps": 11, "pit_stops": 2, "drivers": 3,
+    }
+    entries = {r.feed: r.row_count for r in loads.Snapshot(spark, root).current().collect()}
+    assert entries["pit_stops"] == 0 and set(entries) == set(RAW)
+
+
+def test_a_load_killed_before_its_manifest_is_complete_is_not_seen(spark):
+    """Old or new for all seven feeds, wherever the load stops."""
+    root = scratch_path(spark, "raw")
+    work = loading.weekend_worklist(loading.season_rounds(spark), 2024, 2)
+    loading.load_sessions(spark, _feeds_of(spark, 11, results=3), root, STAMP, work)
+    before = {feed: _rows(spark, root, feed) for feed in RAW}
+    loading.load_sessions(spark, _feeds_of(spark, 20, results=1), root, STAMP, work)
+    after = {feed: _rows(spark, root, feed) for feed in RAW}
+    last = loads.committed(spark, root)[-1]
+    mark = f"{root}/manifest/load={last}/_SUCCESS"
+    storage.delete(spark, mark)
+    assert {feed: _rows(spark, root, feed) for feed in RAW} == before
+    loading.load_sessions(spark, _feeds_of(spark, 20, results=1), root, STAMP, work)
+    assert {feed: _rows(spark, root, feed) for feed in RAW} == after
+
+
+def test_compaction_and_vacuum_keep_the_rows(spark, feeds):
+    root = scratch_path(spark, "raw")
+    loading.load_sessions(spark, feeds, root, STAMP)
+    loading.load_weekend(spark, feeds, root, STAMP, 1997, 4)
+    loading.load_weekend(spark, feeds, root, STAMP, 1998, 2)
+    before = {feed: _rows(spark, root, feed) for feed in RAW}
+    reader = loads.Snapshot(spark, root)
+    loads.compact(spark, root)
+    assert {feed: _rows(spark, root, feed) for feed in RAW} == before
+    assert loads.vacuum(spark, root) == []
+    assert sorted(map(repr, reader.read("laps").collect())) == before["laps"]
+    assert len(loads.vacuum(spark, root, keep=1)) == 3
+    assert {feed: _rows(spark, root, feed) for feed in RAW} == before
+
+
+def test_one_load_is_read_without_a_join(spark, feeds):
+    root = scratch_path(spark, "raw")
+    loading.load_sessions(spark, feeds, root, STAMP)
+    plan = loads.Snapshot(spark, root).read("laps")._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_rows_without_session_are_counted(spark, feeds):
@@ -114,13 +196,14 @@ def test_a_worklist_loads_its_sessions_again(spark, feeds):
     assert laps.count() == feeds["laps"].filter("session_id = '1997_4_R'").count()
 
 
-def test_existing_sessions_are_looked_up_in_their_seasons_only(spark, feeds, capsys):
+def test_seasons_are_read_from_their_directories_only(spark, feeds, capsys):
     root = scratch_path(spark, "raw")
     loading.load_weekend(spark, feeds, root, STAMP, 1997, 4)
-    landing.read_seasons(spark, f"{root}/raw_sessions", RAW["sessions"], [1996]).explain("formatted")
+    reader = loads.Snapshot(spark, root)
+    reader.read("sessions", [1996]).explain("formatted")
     text = capsys.readouterr().out
-    assert "PartitionFilters: [isnotnull(part_season" in text or "part_season#" in text.split("PartitionFilters")[1]
-    assert landing.read_seasons(spark, f"{root}/raw_sessions", RAW["sessions"], [1996]).count() == 0
+    assert "part_season#" in text.split("PartitionFilters")[1]
+    assert reader.read("sessions", [1996]).count() == 0 and reader.read("sessions", [1997]).count() == 2
 
 
 def test_worklists_are_in_order(spark):
@@ -136,9 +219,9 @@ def test_backfill_stores_what_is_missing(spark, feeds):
     before = _rows(spark, root, "pit_stops")
     few = scratch_path(spark, "raw")
     for feed in ("sessions", "laps"):
-        landing.replace_sessions(landing.read_raw(spark, root, feed), f"{few}/raw_{feed}", RAW[feed])
+        landing.replace_sessions(landing.read_raw(spark, root, feed), few, feed)
     part = landing.read_raw(spark, root, "pit_stops").filter("session_id not like '1996%'")
-    landing.replace_sessions(part, f"{few}/raw_pit_stops", RAW["pit_stops"])
+    landing.replace_sessions(part, few, "pit_stops")
     added = loading.backfill_pit_stops(spark, few)
     assert {r.session_id[:4] for r in added.collect()} == {"1996"}
     assert _rows(spark, few, "pit_stops") == before

@@ -4,7 +4,7 @@ from datetime import datetime
 
 from trackside.schemas import NATURAL_KEYS, RAW
 from trackside.session import scratch_path
-from trackside.sources import landing
+from trackside.sources import batches, landing, storage
 from trackside.streaming import incremental_session_append
 
 STAMP = datetime(2024, 3, 1)
@@ -22,7 +22,7 @@ def test_sessions_are_appended_once(spark):
             spark, f"{root}/landing", f"{root}/table", f"{root}/{progress}", RAW["pit_stops"],
             NATURAL_KEYS["pit_stops"],
         ).awaitTermination()
-        table = landing.read_table(spark, f"{root}/table", RAW["pit_stops"])
+        table = batches.read(spark, f"{root}/table", RAW["pit_stops"])
         return sorted((r.session_id, r.stop_number) for r in table.collect())
 
     land((1, 1), (1, 2), (1, 2))
@@ -36,3 +36,60 @@ def test_sessions_are_appended_once(spark):
     assert run() == [*first, ("2024_2_R", 1), ("2024_2_R", 2), ("2024_2_R", 3)]
     # All files again, as after lost progress: nothing is doubled.
     assert run("other") == [*first, ("2024_2_R", 1), ("2024_2_R", 2), ("2024_2_R", 3)]
+
+
+PIT, KEYS = RAW["pit_stops"], NATURAL_KEYS["pit_stops"]
+ODD = [
+    ("2024_1_R", "1", "D1", 1, 5, 2.0, STAMP),
+    ("2024_1_R", "1", "D1", 1, 5, 2.5, datetime(2024, 3, 2)),  # the latest of a key
+    ("2024_1_R", None, "D1", 1, 5, 2.0, STAMP), ("2024_1_R", None, "D1", 1, 5, 2.0, STAMP),
+    ("2024_1_R", None, "D1", 1, 6, 2.0, STAMP), ("2024_1_R", "1", None, None, None, None, None),
+    (None, "1", "D1", 1, 5, 2.0, STAMP), (None, "1", "D1", 1, 5, 2.0, STAMP), (None, None, None, None, None, None, None),
+    ("sprint", "1", "D1", 1, 5, 2.0, STAMP), ("", "1", "D1", 1, 5, 2.0, STAMP), ("_1_R", "1", "D1", 1, 5, 2.0, STAMP),
+]
+
+
+def _state(spark, path):
+    return [sorted(map(repr, read(spark, path, PIT).collect())) for read in (batches.read, batches.unplaced)]
+
+
+def test_the_same_batch_three_times_is_once(spark):
+    """Null, malformed and ordinary rows, under the same name and under others."""
+    path, rows = scratch_path(spark, "table"), spark.createDataFrame(ODD, PIT)
+    assert batches.add(rows, path, PIT, KEYS, "a")
+    once = _state(spark, path)
+    assert [len(x) for x in once] == [4, 5]
+    assert not batches.add(rows, path, PIT, KEYS, "a")
+    for name in ("b", "c"):
+        assert batches.add(rows.repartition(3), path, PIT, KEYS, name)
+        assert _state(spark, path) == once
+    assert sorted(tuple(r) for r in batches.ledger(spark, path).collect()) == [("a", 4, 5), ("b", 0, 0), ("c", 0, 0)]
+
+
+def test_a_batch_killed_before_its_ledger_line_is_not_seen_and_is_added_again(spark):
+    path, rows = scratch_path(spark, "table"), spark.createDataFrame(ODD, PIT)
+    batches.add(rows.limit(1), path, PIT, KEYS, "a")
+    before = _state(spark, path)
+    batches.add(rows, path, PIT, KEYS, "b")
+    after = _state(spark, path)
+    storage.delete(spark, f"{path}/ledger/batch=b/_SUCCESS")
+    assert _state(spark, path) == before
+    assert batches.add(rows, path, PIT, KEYS, "b")
+    assert _state(spark, path) == after
+
+
+def test_a_stream_keeps_odd_rows_once(spark):
+    root = scratch_path(spark, "stream")
+    for progress in ("progress", "progress", "lost"):
+        spark.createDataFrame(ODD, PIT).write.mode("append").parquet(f"{root}/landing")
+        incremental_session_append(
+            spark, f"{root}/landing", f"{root}/raw_pit_stops", f"{root}/{progress}", PIT, KEYS
+        ).awaitTermination()
+    assert [len(x) for x in _state(spark, f"{root}/raw_pit_stops")] == [4, 5]
+    assert landing.read_raw(spark, root, "pit_stops").count() == 4
+
+
+def test_an_empty_batch(spark):
+    path = scratch_path(spark, "table")
+    assert batches.add(spark.createDataFrame([], PIT), path, PIT, KEYS, "a")
+    assert batches.read(spark, path, PIT).count() == batches.unplaced(spark, path, PIT).count() == 0

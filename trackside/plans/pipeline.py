@@ -47,8 +47,8 @@ class Pipeline:
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, **options) -> Pipeline:
-        """Over the raw tables stored under ``root``."""
-        return cls({feed: landing.read_raw(spark, root, feed) for feed in RAW}, **options)
+        """Over the raw tables stored under ``root``, all at the same state."""
+        return cls(landing.read_raw_tables(spark, root), **options)
 
     @cached_property
     def stg_sessions(self) -> DataFrame:

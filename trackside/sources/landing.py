@@ -10,14 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackside.operators import only_new
 from trackside.schemas import RAW, SOURCE
 from trackside.session import settled
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in declared order and type; matched by name, never by position."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+from trackside.sources import batches, loads, storage
+from trackside.sources.storage import conform
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -26,7 +22,24 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_raw(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    return read_table(spark, f"{root}/raw_{feed}", RAW[feed])
+    """A raw table: what its loads or its batches make it, or all its files where there are neither."""
+    return read_raw_tables(spark, root, [feed])[feed]
+
+
+def read_raw_tables(
+    spark: SparkSession, root: str, feeds: Sequence[str] = tuple(RAW)
+) -> dict[str, DataFrame]:
+    """Several raw tables at the same state."""
+    now = loads.Snapshot(spark, root)
+    if now.loads:
+        return {feed: now.read(feed) for feed in feeds}
+    return {feed: _read_unmanaged(spark, f"{root}/raw_{feed}", RAW[feed]) for feed in feeds}
+
+
+def _read_unmanaged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if batches.is_batch_table(spark, path):
+        return batches.read(spark, path, schema)
+    return read_table(spark, path, schema)
 
 
 def read_source(spark: SparkSession, root: str, feed: str) -> DataFrame:
@@ -64,80 +77,24 @@ def append(df: DataFrame, path: str, schema: T.StructType) -> None:
     conform(df, schema).write.mode("append").parquet(path)
 
 
-# Where a raw row is stored: by the season and the session it was loaded from. Not part of its schema.
-PART_SEASON, PART_SESSION = "part_season", "part_session"
-
-
-def by_session(df: DataFrame, schema: T.StructType, session: Column) -> DataFrame:
-    """The declared columns and the two columns that a raw table is partitioned by."""
-    season = F.split_part(session, F.lit("_"), F.lit(1)).try_cast("bigint")
-    placed = df.withColumn(PART_SESSION, session).withColumn(PART_SEASON, season)
-    columns = conform(df, schema).columns
-    return placed.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in columns],
-        PART_SEASON, PART_SESSION,
-    )
-
-
 def replace_sessions(
-    df: DataFrame, path: str, schema: T.StructType, session: Column | None = None
-) -> None:
-    """Store rows so that each session that comes in has these rows and no others.
+    df: DataFrame, root: str, feed: str, session: Column | None = None,
+    sessions: DataFrame | None = None,
+) -> str:
+    """Store rows of one feed so that each session that comes in has these rows and no others.
 
-    A session is a directory, and a directory is replaced whole. Whatever a load that broke off has left of it,
-    running the load again ends with the full rows, neither lost nor doubled.
+    ``sessions`` names the sessions; those without rows lose what they had. By default they are the
+    sessions of the rows. Readers see the old rows or the new ones, for all sessions at once.
     """
-    rows = by_session(df, schema, F.col("session_id") if session is None else session)
-    (
-        rows.hint("rebalance", PART_SEASON, PART_SESSION)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART_SEASON, PART_SESSION).parquet(path)
-    )
-
-
-def read_seasons(
-    spark: SparkSession, path: str, schema: T.StructType, seasons: Sequence[int]
-) -> DataFrame:
-    """The rows of some seasons of a raw table; no other directory is read."""
-    placed = T.StructType([
-        *schema.fields, T.StructField(PART_SEASON, T.LongType()),
-        T.StructField(PART_SESSION, T.StringType()),
-    ])
-    stored = spark.read.schema(placed).parquet(path)
-    return stored.filter(F.col(PART_SEASON).isin(list(seasons))).select(*schema.names)
-
-
-def seasons_of(df: DataFrame, column: Column) -> list[int]:
-    """The seasons that come in: a few numbers, whatever the number of rows."""
-    return sorted(r[0] for r in df.select(column.alias("s")).distinct().collect() if r[0] is not None)
-
-
-def append_rows_if_new(
-    incoming: DataFrame, path: str, schema: T.StructType, keys: Sequence[str]
-) -> None:
-    """Append the rows whose key the table does not hold yet, comparing incoming seasons only.
-
-    Rows are compared, not sessions: of a batch that is run again only what is missing is added, and
-    a second part of a session that comes later is added as well.
-    """
-    rows = by_session(incoming, schema, F.col("session_id"))
-    seasons = seasons_of(rows, F.col(PART_SEASON))
-    existing = read_seasons(incoming.sparkSession, path, schema, seasons)
-    (
-        only_new(rows, existing, keys).write.mode("append")
-        .partitionBy(PART_SEASON, PART_SESSION).parquet(path)
-    )
+    rows = storage.by_session(df, RAW[feed], F.col("session_id") if session is None else session)
+    if sessions is None:
+        sessions = df.limit(0).select(F.lit(None).cast("string").alias("session_id"))
+    return loads.commit(df.sparkSession, root, {feed: rows}, sessions)
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """The complete versions of a mart, oldest first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    found = [str(x.getPath().toString()) for x in files.listStatus(folder) if x.isDirectory()]
-    return sorted(v for v in found if files.exists(path_of(f"{v}/_SUCCESS")))
+    return [f"{path}/{name}" for name in storage.complete(spark, path)]
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -154,10 +111,8 @@ def _new_version(spark: SparkSession, path: str) -> str:
 
 def _switched(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Drop all versions but the newest two: a reader may still be at the one before."""
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
     for old in _versions(spark, path)[:-2]:
-        old = path_of(old)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        storage.delete(spark, old)
     return read_mart(spark, path, schema)
 
 

@@ -12,7 +12,7 @@ from trackside.functions import build_session_id
 from trackside.operators import only_new
 from trackside.schemas import RAW, SEASON_ROUNDS, SESSION_FEEDS, SESSION_TYPES
 from trackside.session import settled
-from trackside.sources import landing, shaping
+from trackside.sources import landing, loads, shaping, storage
 
 
 def season_rounds(spark: SparkSession, rounds: dict[int, int] = SEASON_ROUNDS) -> DataFrame:
@@ -93,11 +93,9 @@ def pit_stop_backfill(
 
 def backfill_pit_stops(spark: SparkSession, root: str) -> DataFrame:
     """Derive and store the pit stops of loaded races that have none; returns the session ids."""
-    sessions, laps, stops = (
-        landing.read_raw(spark, root, feed) for feed in ("sessions", "laps", "pit_stops")
-    )
-    found = settled(pit_stop_backfill(sessions, laps, stops))
-    landing.replace_sessions(found, f"{root}/raw_pit_stops", RAW["pit_stops"])
+    raw = landing.read_raw_tables(spark, root, ("sessions", "laps", "pit_stops"))
+    found = settled(pit_stop_backfill(raw["sessions"], raw["laps"], raw["pit_stops"]))
+    landing.replace_sessions(found, root, "pit_stops")
     return found.select("session_id").distinct()
 
 
@@ -129,20 +127,18 @@ def load_sessions(
 ) -> DataFrame:
     """Load the sessions of the landed feeds that are not in the raw tables yet.
 
-    With a ``worklist`` only its sessions are loaded, and loaded again if they are there. Every table
-    is replaced session by session, and the session table comes last: a session is marked loaded
-    once all its feeds are. A load that broke off, anywhere, is put right by running it again.
+    With a ``worklist`` only its sessions are loaded, and loaded again if they are there; those of it
+    that the feeds do not know are left as they are. A load is committed at once for all seven feeds, and what a session
+    has in none of them afterwards is gone. A load that broke off, anywhere, has changed nothing for
+    readers and is run again.
 
     Returns ``feed, rows_without_session``: landed rows that name no session belong to no load and
     are left out, but counted.
     """
-    landing.create_raw_tables(spark, root)
     event_id = build_session_id("season", "round_number", "session_type")
     events = feeds["events"].withColumn("session_id", event_id)
     if worklist is None:
-        seasons = landing.seasons_of(events, F.col("season"))
-        loaded = landing.read_seasons(spark, f"{root}/raw_sessions", RAW["sessions"], seasons)
-        new = only_new(events, loaded, ["session_id"])
+        new = only_new(events, loads.Snapshot(spark, root).loaded(), ["session_id"])
     else:
         new = events.join(worklist.select("session_id").distinct(), "session_id", "left_semi")
     new = settled(new.filter("session_id is not null"))
@@ -151,11 +147,16 @@ def load_sessions(
         name: feed.join(wanted, "session_id", "left_semi")
         for name, feed in feeds.items() if name != "events" and "session_id" in feed.columns
     }
-    fresh["laps"] = settled(fresh["laps"])
+    fresh["laps"], fresh["results"] = settled(fresh["laps"]), settled(fresh["results"])
     shaped = shape_feeds({**fresh, "events": new.drop("session_id")}, loaded_at)
-    for feed in (*SESSION_FEEDS, "drivers", "circuits", "sessions"):
-        session = F.col("from_session") if feed in ("drivers", "circuits") else None
-        landing.replace_sessions(shaped[feed], f"{root}/raw_{feed}", RAW[feed], session)
+    frames = {
+        feed: storage.by_session(
+            shaped[feed], RAW[feed],
+            F.col("from_session" if feed in ("drivers", "circuits") else "session_id"),
+        )
+        for feed in (*SESSION_FEEDS, "drivers", "circuits", "sessions")
+    }
+    loads.commit(spark, root, frames, wanted)
     lost = [
         feed.filter("session_id is null").agg(F.count(F.lit(1)).alias("rows_without_session"))
         .select(F.lit(name).alias("feed"), "rows_without_session")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trackside.operators import latest_by_key
-from trackside.sources.landing import append_rows_if_new, create_table
+from trackside.sources import batches
+
+
+def stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that a stream keeps as long as its progress; a stream that starts anew gets another."""
+    return json.loads(spark.read.text(f"{checkpoint_path}/metadata").first()[0])["id"]
 
 
 def incremental_session_append(
@@ -20,18 +25,17 @@ def incremental_session_append(
     schema: T.StructType,
     row_key: Sequence[str],
 ) -> StreamingQuery:
-    """Append the rows of newly landed files that the table does not hold yet.
+    """Add the rows of newly landed files that the table does not hold yet.
 
-    Takes all files that are waiting and stops. Copies of a row are reduced to the latest within a batch, and
-    one that is in the table already is skipped. A batch that is run again after a failure
-    adds what is missing. A session's files may come in any number of parts.
+    Takes all files that are waiting and stops. Every micro-batch is added exactly once (``batches.add``):
+    its number and the stream's id name it in the table's ledger. A stream that has lost its progress
+    and takes all files again adds nothing that is held. A session's files may come in any number of parts.
+    Rows whose session names no season are kept apart (``batches.unplaced``).
     """
-    create_table(spark, table_path, schema)
-    others = [name for name in schema.names if name not in {*row_key, "loaded_at"}]
 
-    def add(batch: DataFrame, _: int) -> None:
-        latest = latest_by_key(batch, row_key, ["loaded_at"], others)
-        append_rows_if_new(latest, table_path, schema, row_key)
+    def add(batch: DataFrame, number: int) -> None:
+        name = f"{stream_id(spark, checkpoint_path)}-{number:012d}"
+        batches.add(batch, table_path, schema, row_key, name)
 
     return (
         spark.readStream.schema(schema).parquet(landing_path)
