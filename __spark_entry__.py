@@ -23,7 +23,7 @@ from trackside.plans import marts, reports  # noqa: E402
 from trackside.plans.pipeline import Pipeline  # noqa: E402
 from trackside.schemas import NATURAL_KEYS, RAW, SOURCE  # noqa: E402
 from trackside.session import apply_settings, scratch_path, settled  # noqa: E402
-from trackside.sources import batches, landing, loading, loads, shaping  # noqa: E402
+from trackside.sources import batches, catalog, landing, loading, loads, shaping  # noqa: E402
 from trackside.streaming import incremental_session_append  # noqa: E402
 
 # The subpackage for text corpora and its pipeline are optional: without them the rest works.
@@ -423,6 +423,88 @@ def lap_times_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.lap_times(made.stg_laps, made.stg_sessions, 0.25)
 
 
+def laps_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lap-time mart as it is stored, every driver's race being hot from 20 laps on."""
+    made = pipeline(spark, sf_dir, ["laps"])
+    return marts.lap_times_once(made.stg_laps, made.stg_sessions, hot_rows=20)
+
+
+def stints_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stints as they are stored, every driver's race being hot from 20 laps on."""
+    made = pipeline(spark, sf_dir, ["laps"])
+    return marts.tyre_strategy_once(made.stg_laps, made.stg_sessions, hot_rows=20)
+
+
+def stored_marts(name: str) -> Query:
+    """A mart as the pipeline stores it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = pipeline(spark, sf_dir, ["laps"])
+        return getattr(made.keep(scratch_path(spark, "marts"), name), name)
+
+    return run
+
+
+def in_buckets(name: str) -> Query:
+    """A mart over laps stored in buckets of session and driver."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = pipeline(spark, sf_dir, ["laps"])
+        path = scratch_path(spark, "buckets")
+        return getattr(made.bucket_laps(_database(path), path, buckets=8), name)
+
+    return run
+
+
+def _database(path: str) -> str:
+    """A database name for one folder."""
+    return f"timing_{path.split('/')[-2]}"
+
+
+def catalog_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw circuits by name, from a table that was missing and is created twice."""
+    path, circuits = scratch_path(spark, "catalog"), _raw(spark, sf_dir).circuits
+    for part in (F.col("loaded_at") < "1998-01-01", F.col("loaded_at") >= "1998-01-01"):
+        catalog.create_raw_tables(spark, _database(path), path)
+        catalog.append(circuits.filter(part), _database(path), "raw_circuits")
+    return _local_time(spark.sql(f"select * from {_database(path)}.raw_circuits"))
+
+
+def catalog_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaders after each round, by SQL over a mart that was published twice."""
+    path, made = scratch_path(spark, "catalog"), pipeline(spark, sf_dir, keep=["race_results"])
+    for _ in range(2):
+        made.publish(_database(path), path, "driver_standings")
+    return spark.sql(
+        "select season, round_number, abbreviation, cumulative_points"
+        f" from {_database(path)}.driver_standings where championship_position = 1"
+    )
+
+
+def report_laps_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best clean laps in one country before 1997, from the stored mart and the stored calendar."""
+    made = pipeline(spark, sf_dir, ["laps"], ["lap_times", "season_calendar"], as_of=AS_OF)
+    where = (F.col("country") == "NATION_3") & (F.col("race_date") < "1997-01-01")
+    return reports.laps_where(made.lap_times, made.season_calendar, where)
+
+
+def events_running_errors_cuts(events: DataFrame) -> DataFrame:
+    """Errors so far of each user, users of more than 50 events being hot."""
+    error = F.when(F.col("event_type") == "error", 1).otherwise(0).cast("bigint")
+    return operators.hot.running_total(
+        events.select("event_id", "user_id", "ts", "event_type"), error, ["user_id"],
+        ["ts", "event_id"], "errors_so_far", hot_rows=50,
+    ).drop("event_type")
+
+
+def lines_delta_to_median_cuts(lines: DataFrame) -> DataFrame:
+    """Quantity against the supplier's median, suppliers of more than 100 lines being hot."""
+    return operators.hot.delta_to_median(
+        lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"),
+        "l_quantity", ["l_suppkey"], "delta_to_median", hot_rows=100,
+    )
+
+
 def lines_next_line(lines: DataFrame) -> DataFrame:
     narrow = lines.select("l_orderkey", "l_linenumber", "l_partkey")
     return operators.next_row_lookup(
@@ -530,6 +612,16 @@ def _all_queries() -> dict[str, Query]:
             "lineitem", lambda lines: lines_delta_to_median(lines, 3)
         ),
         "lap_times_blocks": lap_times_blocks,
+        "lap_times_cuts": laps_once,
+        "tyre_strategy_cuts": stints_once,
+        "lap_times_stored": stored_marts("lap_times"),
+        "tyre_strategy_stored": stored_marts("tyre_strategy"),
+        **{f"{name}_in_buckets": in_buckets(name) for name in ("lap_times", "tyre_strategy", "pit_stops")},
+        "catalog_created": catalog_created,
+        "catalog_leaders": catalog_leaders,
+        "report_laps_where": report_laps_where,
+        "events_running_errors_cuts": _on("events", events_running_errors_cuts),
+        "lines_delta_to_median_cuts": _on("lineitem", lines_delta_to_median_cuts),
         "lines_next_line": _on("lineitem", lines_next_line),
         "orders_without_lines": orders_without_lines,
     }

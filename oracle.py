@@ -556,6 +556,16 @@ STATEMENTS: dict[str, str] = {
       select season, round_number, lap_number, count(*) as stops,
              avg(pit_duration_seconds) as avg_pit_duration
       from pit_stops group by all""",
+    "catalog_leaders": """
+      select season, round_number, abbreviation, cumulative_points
+      from driver_standings where championship_position = 1""",
+    "report_laps_where": """
+      select l.season, l.round_number, c.country, l.abbreviation, count(*) as clean_laps,
+             min(l.lap_time_seconds) as best_lap_time
+      from lap_times l join season_calendar c
+        on c.season = l.season and c.round_number = l.round_number
+      where l.is_clean_lap and c.country = 'NATION_3' and c.race_date < date '1997-01-01'
+      group by all""",
     "report_degradation": """
       select compound, tyre_life, count(*) as laps, avg(delta_to_driver_median) as avg_delta
       from lap_times where is_clean_lap and compound is not null and tyre_life is not null
@@ -618,6 +628,16 @@ for _blocks, _plain in {
     "orders_rank_blocks": "orders_rank_by_priority",
     "lines_delta_to_median_blocks": "lines_delta_to_median",
     "lap_times_blocks": "lap_times",
+    "lap_times_cuts": "lap_times",
+    "tyre_strategy_cuts": "tyre_strategy",
+    "lap_times_stored": "lap_times",
+    "tyre_strategy_stored": "tyre_strategy",
+    "events_running_errors_cuts": "events_running_errors",
+    "lines_delta_to_median_cuts": "lines_delta_to_median",
+    "lap_times_in_buckets": "lap_times",
+    "tyre_strategy_in_buckets": "tyre_strategy",
+    "pit_stops_in_buckets": "pit_stops",
+    "catalog_created": "scan_raw_circuits",
 }.items():
     STATEMENTS[_blocks] = STATEMENTS[_plain]
 

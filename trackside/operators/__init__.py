@@ -1,3 +1,4 @@
+from trackside.operators import hot
 from trackside.operators.dedup import latest_by_key
 from trackside.operators.lookup import next_row_lookup, not_in, only_new
 from trackside.operators.ordered import (
@@ -12,6 +13,7 @@ from trackside.operators.ordered import (
 __all__ = [
     "delta_to_median",
     "group_quantile",
+    "hot",
     "islands",
     "latest_by_key",
     "next_row_lookup",

@@ -46,6 +46,17 @@ def _exact(df: DataFrame, value: Column) -> tuple[Column, T.DataType]:
     return value.cast("bigint"), T.LongType()
 
 
+def _addable(total: Column, kind: T.DataType) -> Column:
+    """A total that can be added to another without losing a digit behind the point.
+
+    The sum of two 38-digit decimals would have one digit less there.
+    """
+    if isinstance(kind, T.LongType):
+        return total
+    scale = kind.scale if isinstance(kind, T.DecimalType) else SCALE
+    return total.cast(T.DecimalType(37, scale))
+
+
 def running_total(
     df: DataFrame,
     value: str | Column,
@@ -75,7 +86,7 @@ def running_total(
     before = prefixed(
         totals.withColumn("_before", F.sum("_total").over(earlier)), [*keys, "_block"], "_b_", "_before"
     )
-    local, carried = F.col("_local"), F.col("_before")
+    local, carried = _addable(F.col("_local"), kind), _addable(F.col("_before"), kind)
     return (
         cut.withColumn("_local", F.sum("_value").over(within))
         .join(before, same_keys([*keys, "_block"], "_b_"))

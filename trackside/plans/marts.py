@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackside.operators import (
     delta_to_median,
+    hot,
     islands,
     latest_by_key,
     next_row_lookup,
@@ -119,22 +120,41 @@ def lap_times(
     An unknown track status leaves the flag NULL unless something else rules the
     lap out. The median covers all the driver's laps, clean or not.
     """
+    return delta_to_median(
+        _race_laps(laps, sessions), "lap_time_seconds", ["session_id", "abbreviation"],
+        "delta_to_driver_median", block=F.floor(F.col("lap_time_seconds") / block_seconds),
+    )
+
+
+def lap_times_once(laps: DataFrame, sessions: DataFrame, hot_rows: int = hot.HOT_ROWS) -> DataFrame:
+    """``lap_times`` where it is going to be stored: laps meet their sessions once, and no block is given."""
+    return hot.delta_to_median(
+        _race_laps(laps, sessions), "lap_time_seconds", ["session_id", "abbreviation"],
+        "delta_to_driver_median", hot_rows=hot_rows,
+    )
+
+
+def lap_times_in_place(laps: DataFrame, sessions: DataFrame) -> DataFrame:
+    """``lap_times`` over laps that are stored in buckets of session and driver: no lap moves."""
+    return hot.delta_in_place(
+        _race_laps(laps, sessions), "lap_time_seconds", ["session_id", "abbreviation"],
+        "delta_to_driver_median",
+    )
+
+
+def _race_laps(laps: DataFrame, sessions: DataFrame) -> DataFrame:
     races = _sessions_of(sessions, RACE, "season", "round_number", "race_name")
     clean = (
         F.col("lap_time_seconds").isNotNull()
         & ~F.col("is_pit_in_lap") & ~F.col("is_pit_out_lap") & ~F.col("is_abnormal_track_status")
     )
-    joined = laps.join(races, "session_id").select(
+    return laps.join(races, "session_id").select(
         "season", "round_number", "race_name", "session_id", "abbreviation", "driver_number",
         "lap_number", "lap_time_seconds", "sector_1_seconds", "sector_2_seconds",
         "sector_3_seconds", "compound", "tyre_life", "is_personal_best", "is_pit_in_lap",
         "is_pit_out_lap", "is_abnormal_track_status",
         clean.alias("is_clean_lap"),
     )
-    return delta_to_median(
-        joined, "lap_time_seconds", ["session_id", "abbreviation"], "delta_to_driver_median",
-        block=F.floor(F.col("lap_time_seconds") / block_seconds),
-    )
 
 
 def pit_stops(stops: DataFrame, sessions: DataFrame, laps: DataFrame) -> DataFrame:
@@ -160,8 +180,39 @@ def tyre_strategy(
     compound are dropped first, so a lost lap 1 leaves stint 0 and a lost pit-out
     lap joins two stints.
     """
+    numbered = islands(
+        _known_laps(laps, sessions), _starts_stint(), STINT_KEYS, STINT_ORDER, "stint_number",
+        _lap_block(block_laps),
+    )
+    return _stints(numbered)
+
+
+def tyre_strategy_once(laps: DataFrame, sessions: DataFrame, hot_rows: int = hot.HOT_ROWS) -> DataFrame:
+    """``tyre_strategy`` where it is going to be stored: laps meet their sessions once, and no block is given."""
+    return _stints(hot.islands(
+        _known_laps(laps, sessions), _starts_stint(), STINT_KEYS, STINT_ORDER, "stint_number", hot_rows
+    ))
+
+
+def tyre_strategy_in_place(laps: DataFrame, sessions: DataFrame) -> DataFrame:
+    """``tyre_strategy`` over laps that are stored in buckets of session and driver: no lap moves."""
+    return _stints(islands(
+        _known_laps(laps, sessions), _starts_stint(), STINT_KEYS, STINT_ORDER, "stint_number"
+    ))
+
+
+STINT_KEYS = ["session_id", "abbreviation"]
+# The lap decides; the rest only makes copies of a lap come in a fixed order.
+STINT_ORDER = ["lap_number", "is_pit_out_lap", "lap_time_seconds", "compound"]
+
+
+def _starts_stint() -> Column:
+    return (F.col("lap_number") == 1) | F.col("is_pit_out_lap")
+
+
+def _known_laps(laps: DataFrame, sessions: DataFrame) -> DataFrame:
     races = _sessions_of(sessions, RACE, "season", "round_number", "race_name")
-    known = (
+    return (
         laps.filter(F.col("compound").isNotNull())
         .select(
             "session_id", "abbreviation", "lap_number", "lap_time_seconds", "compound",
@@ -169,13 +220,9 @@ def tyre_strategy(
         )
         .join(races, "session_id")
     )
-    numbered = islands(
-        known, (F.col("lap_number") == 1) | F.col("is_pit_out_lap"),
-        ["session_id", "abbreviation"],
-        # The lap decides; the rest only makes copies of a lap come in a fixed order.
-        ["lap_number", "is_pit_out_lap", "lap_time_seconds", "compound"], "stint_number",
-        _lap_block(block_laps),
-    )
+
+
+def _stints(numbered: DataFrame) -> DataFrame:
     return numbered.groupBy(
         "season", "round_number", "race_name", "session_id", "abbreviation", "stint_number"
     ).agg(

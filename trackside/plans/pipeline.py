@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trackside.operators import quality
 from trackside.plans import marts, staging
 from trackside.schemas import RAW, SESSION_TYPES
-from trackside.sources import landing, loading
+from trackside.sources import catalog, landing, loading
 
 MARTS = [
     "race_results", "qualifying_results", "driver_standings", "final_standings",
@@ -23,6 +23,10 @@ CLUSTERED = {
     "race_results": ("abbreviation", "round_number"),
 }
 
+LAP_BUCKETS = ["session_id", "abbreviation"]
+# Relations that read their laps once where they may store what they read.
+ONCE = {"lap_times": marts.lap_times_once, "tyre_strategy": marts.tyre_strategy_once}
+
 
 class Pipeline:
     """Staging relations and marts over seven raw relations.
@@ -44,6 +48,7 @@ class Pipeline:
     ):
         self.raw, self.as_of, self.dedupe = raw, as_of, dedupe
         self.tiebreaks = tiebreaks or {}
+        self.in_buckets = False
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, **options) -> Pipeline:
@@ -100,7 +105,8 @@ class Pipeline:
 
     @cached_property
     def lap_times(self) -> DataFrame:
-        return marts.lap_times(self.stg_laps, self.stg_sessions)
+        build = marts.lap_times_in_place if self.in_buckets else marts.lap_times
+        return build(self.stg_laps, self.stg_sessions)
 
     @cached_property
     def pit_stops(self) -> DataFrame:
@@ -108,7 +114,8 @@ class Pipeline:
 
     @cached_property
     def tyre_strategy(self) -> DataFrame:
-        return marts.tyre_strategy(self.stg_laps, self.stg_sessions)
+        build = marts.tyre_strategy_in_place if self.in_buckets else marts.tyre_strategy
+        return build(self.stg_laps, self.stg_sessions)
 
     @cached_property
     def season_calendar(self) -> DataFrame:
@@ -144,13 +151,19 @@ class Pipeline:
             missing = quality.missing_rounds(loading.expected_grid(rounds), sessions)
             quality.gate("all rounds", missing)
 
+    def _to_store(self, name: str) -> DataFrame:
+        """A relation in the form that is best where it is stored anyway: it may store on its way."""
+        if name in ONCE and name not in self.__dict__ and not self.in_buckets:
+            return ONCE[name](self.stg_laps, self.stg_sessions)
+        return getattr(self, name)
+
     def keep(self, root: str, *names: str) -> Pipeline:
         """Store relations under ``root``; what is built on them from now on reads them there.
 
         Worth it for a relation that is costly to make and read by several marts.
         """
         for name in names:
-            path, relation = f"{root}/{name}", getattr(self, name)
+            path, relation = f"{root}/{name}", self._to_store(name)
             if name in CLUSTERED:
                 stored = landing.write_clustered(relation, path, cluster=CLUSTERED[name])
             else:
@@ -170,6 +183,32 @@ class Pipeline:
         self.keep(root, "stg_results", *MARTS)
         return {name: getattr(self, name) for name in MARTS}
 
+    def bucket_laps(self, database: str, path: str, buckets: int) -> Pipeline:
+        """Store the staged laps in buckets of session and driver; what is built on laps from now on reads these.
+
+        Lap times, stints and the tyres after a stop all go by session and driver, so one shuffle at the
+        time of storing takes the place of one in each of them. A driver's race must fit a task. The session
+        is told that a join may use buckets of some of its keys, as that on the next lap does.
+        """
+        self.stg_laps.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        self.stg_laps = catalog.publish(
+            self.stg_laps, database, "stg_laps", path, buckets=buckets,
+            bucket_by=LAP_BUCKETS, sort_by=[*LAP_BUCKETS, "lap_number"], analyse=["session_id"],
+        )
+        for name in ("lap_times", "tyre_strategy", "pit_stops"):
+            self.__dict__.pop(name, None)
+        self.in_buckets = True
+        return self
+
+    def publish(self, database: str, path: str, *names: str) -> Pipeline:
+        """Store marts as tables of the catalog with statistics; SQL finds them by name."""
+        for name in names or MARTS:
+            mart = getattr(self, name)
+            parts = ["season"] if name in CLUSTERED else []
+            keys = [c for c in ("season", "round_number", "abbreviation") if c in mart.columns]
+            setattr(self, name, catalog.publish(mart, database, name, path, parts, analyse=keys))
+        return self
+
     def register_views(self, spark: SparkSession) -> None:
         """Staging relations as temporary views, for use from SQL."""
         for feed in RAW:

@@ -64,7 +64,8 @@ def clean_pace(laps: DataFrame, season: int | None = None, block_seconds: float
     """Mean and median clean lap per driver and race, from one grouping by lap time."""
     keys = ["season", "round_number", "session_id", "abbreviation"]
     time, rows = F.col("lap_time_seconds"), F.col("_rows")
-    exact = time.cast("decimal(38,12)") * rows
+    # Narrow enough that the product keeps all twelve digits behind the point.
+    exact = time.cast("decimal(25,12)") * rows.cast("decimal(12,0)")
     paced = group_quantile(
         _season(laps, season).filter("is_clean_lap"), "lap_time_seconds", keys, "median_lap_time",
         block=F.floor(time / block_seconds),
@@ -109,6 +110,21 @@ def pit_timing(stops: DataFrame, season: int | None = None) -> DataFrame:
     )
 
 
+def laps_where(laps: DataFrame, calendar: DataFrame, where: Column) -> DataFrame:
+    """Clean laps of the races that the calendar shows under a condition, such as a country.
+
+    Seasons of such races are known only when the calendar has been read. Over a stored mart Spark reads the calendar
+    first and then no other season's directory.
+    """
+    races = calendar.filter(where).select("season", "round_number", "country")
+    return (
+        laps.filter("is_clean_lap").join(races, ["season", "round_number"])
+        .groupBy("season", "round_number", "country", "abbreviation").agg(
+            F.count(F.lit(1)).alias("clean_laps"), F.min("lap_time_seconds").alias("best_lap_time"),
+        )
+    )
+
+
 def degradation(laps: DataFrame, season: int | None = None) -> DataFrame:
     """Mean gap to the driver's median over clean laps, by compound and tyre age."""
     known = F.col("is_clean_lap") & F.col("compound").isNotNull() & F.col("tyre_life").isNotNull()
