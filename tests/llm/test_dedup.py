@@ -178,6 +178,14 @@ def test_near_duplicates_of_odd_documents(odd_docs, no_docs, stored):
     assert jaccard_join.survivors(stored(no_docs, "none")).count() == 0
 
 
+def test_regular_words_are_not_taken_for_each_other(spark, stored):
+    """A word of 1,024 letters and its complement share nothing."""
+    words = ["".join(pair[bin(i).count("1") % 2] for i in range(1024)) for pair in ("ab", "ba")]
+    docs = stored(spark.createDataFrame(list(enumerate(words)), "doc_id bigint, text string"), "regular")
+    found = jaccard_join.near_duplicates(docs, size=4, percent=85).collect()
+    assert {(r.id, r.n_shingles, r.component_id) for r in found} == {(0, 1, 0), (1, 1, 1)}
+
+
 def test_prefixes_hold_what_a_partner_needs():
     for n in range(1, 200):
         for percent in (80, 85, 100):

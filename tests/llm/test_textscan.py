@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -52,3 +53,15 @@ def test_sliced_columns():
     column = pa.array(["zero", "one two", None, "three"]).slice(1)
     data, offsets = textscan.texts(column)
     assert data.tobytes() == b"one twothree" and offsets.tolist() == [0, 7, 7, 12]
+
+
+def thue_morse(letters: str, size: int) -> str:
+    return "".join(letters[bin(i).count("1") % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_words_of_regular_letters_have_hashes_of_their_own(size):
+    """These two collide in every polynomial of the bytes with an odd base modulo 2^64."""
+    column = pa.array([thue_morse("ab", size), thue_morse("ba", size), "a" * size, "ab" * (size // 2), "ba" * (size // 2)])
+    data, offsets = textscan.texts(column)
+    assert len(set(textscan.words(data, offsets, textscan.BLANK_SEPARATED).hashes.tolist())) == 5

@@ -16,7 +16,6 @@ _random = np.random.default_rng(20240607)
 _VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = _random.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = np.ones(1, np.uint64)
 
 
 def _lowered() -> np.ndarray:
@@ -51,15 +50,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_up_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 4096), _BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps)
-    return _powers
-
-
 @dataclass
 class Words:
     """The words of some texts: hash, place in ``data``, and for each text its first word."""
@@ -92,7 +82,11 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
-    """All words, lower-cased (A-Z), hashed with a finisher over a polynomial of their bytes."""
+    """All words, lower-cased (A-Z), hashed.
+
+    A word's hash is made of the sum of one mixed number for each byte and its place. Each of these is as good as drawn
+    at random, so no pattern of letters makes two words alike, as it would in a polynomial modulo 2^64.
+    """
     n = len(data)
     within = inside[data]
     edges = np.zeros(n + 1, bool)
@@ -107,9 +101,9 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
         return Words(data, np.zeros(0, np.uint64), starts, ends, first)
     lengths = ends - starts
     where = np.cumsum(lengths) - lengths
-    powers = _powers_up_to(int(lengths.max()))
-    place = np.arange(int(lengths.sum())) - np.repeat(where, lengths)
-    sums = np.add.reduceat(_VALUES[LOWER[data[within]]] * powers[place], where)
+    place = (np.arange(int(lengths.sum())) - np.repeat(where, lengths)).astype(np.uint64)
+    terms = mixed(_VALUES[LOWER[data[within]]] + place * _BASE)
+    sums = np.add.reduceat(terms, where)
     return Words(data, mixed(sums + lengths.astype(np.uint64)), starts, ends, first)
 
 
