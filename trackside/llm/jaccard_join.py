@@ -52,17 +52,20 @@ def _shingle_runs(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray
 def _rarity(docs: DataFrame, size: int) -> np.ndarray:
     """For each cell the class of its count over all documents: an eighth of a power of two."""
 
-    def count(batches: Iterator) -> Iterator:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for _, grams, _ in _shingle_runs(pa.array(batch["text"], pa.string()), size):
+            for _, grams, _ in _shingle_runs(batch.column("text"), size):
                 cells += np.bincount((grams >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-        yield from tables.segments(np.minimum(cells, 2**32 - 1).astype(np.uint32))
+        for part in tables.segments(np.minimum(cells, 2**32 - 1).astype(np.uint32)):
+            columns = [pa.array(part["segment"], pa.int32()), pa.array(part["lane"], pa.int32()),
+                       pa.array(part["cells"], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["segment", "lane", "cells"])
 
     def fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.minimum(a.astype(np.uint64) + b, 2**32 - 1).astype(np.uint32)
 
-    counts = tables.whole(docs.select("text").mapInPandas(count, tables.SCHEMA), CELLS, "uint32", fold)
+    counts = tables.whole(docs.select("text").mapInArrow(count, tables.SCHEMA), CELLS, "uint32", fold)
     return (8 * np.log2(1 + counts.astype(np.float64))).astype(np.uint8)
 
 

@@ -11,6 +11,7 @@ from trackside.llm import (
     chat, decontaminate, exact_dedup, hard_negatives, importance, jaccard_join, kd_shards, line_dedup,
     packing, secrets, token_counts, toxicity, warc,
 )
+from trackside.llm.store import small_batches
 from trackside.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     found = jaccard_join.near_duplicates(docs, size=4, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "class_id")

@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 from trackside.session import scratch_path
 
 ROW = "__row"
+#: What goes to a Python worker at a time. The default of 10,000 rows makes both it and the executor's JVM hold
+#: buffers of tens of megabytes for each task, and keep them.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Tell the session to hand texts to Python in small batches, from now on."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def _with_folder(spark: SparkSession) -> SparkSession:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that are scanned at once; a longer text is scanned alone.
-PIECE = 1 << 22
+PIECE = 1 << 20
 
 _random = np.random.default_rng(20240607)
 _VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
