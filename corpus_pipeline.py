@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackside.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
-from trackside.llm.store import keep
+from trackside.llm.store import keep, small_batches
 
 #: Documents with this score or a higher one go.
 TOXIC = 0.7
@@ -18,6 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold; the model learns from all labels."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
     return docs.filter(toxicity.scores(docs, model) < TOXIC)
@@ -28,6 +29,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     A column ``n_chars`` follows the text.
     """
+    small_batches(spark)
     cleaned = line_dedup.drop_repeated_lines(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -37,11 +39,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five words, similarity 0.8."""
+    small_batches(spark)
     return jaccard_join.survivors(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of any benchmark item."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     clean = decontaminate.benchmark_hits(docs, benchmark).filter("n_hit = 0")
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -49,6 +53,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document stands in the training sequences."""
+    small_batches(spark)
     packed = packing.pack_documents(docs)
     return packed.withColumnRenamed("id", "doc_id")
 
