@@ -131,7 +131,7 @@ def plan(histogram: np.ndarray, window: int = WINDOW) -> list[Pattern]:
         for i in np.argsort(-counts, kind="stable"):
             lengths = tuple(int(n) for n in combos[i] if n)
             most = min(int(left[n]) // lengths.count(n) for n in lengths)
-            times = min(most, max(1, int(counts[i] + 0.5)))
+            times = min(most, int(counts[i] + 0.5))
             if times:
                 made.append((lengths, times))
                 for n in lengths:
