@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import struct
-
-import numpy as np
+from collections.abc import Callable
 
 #: The folder of the public tokenizer files; a parameter of every operator that needs one.
 FOLDER = "/opt/tokenizers"
 FILE = "word_bpe_49k.json"
-#: Chunks whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 700_000
+#: Chunks whose ids a worker remembers, and words; each has at most so many characters.
+REMEMBERED, LONGEST = 700_000, 64
 # Python splits at these, the tokenizer does not.
 _ODD_BLANKS = "\x1c\x1d\x1e\x1f"
-_MARKS = ".,;:!?"
+_MARKS = string.punctuation
 
 
 def tokenizer_path(name: str = FILE, folder: str = FOLDER) -> str:
@@ -34,12 +34,36 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Memory(dict[str, bytes]):
+    """What ``make`` gave for a string, of those asked for lately.
+
+    A full memory becomes the older one, and what is asked for again moves on from there, so
+    frequent strings are never made anew. Long strings are made each time.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class WordTokenizer:
     """The ids that the tokenizer gives a text, as little-endian 16-bit bytes.
 
     The tokenizer cuts texts at white space and looks at each chunk alone, so chunks are
-    remembered: most of a text is made of chunks seen before. A chunk of letters, with a mark behind it or not, is
-    lower-cased and merged without the tokenizer's search for pieces; any other is encoded as it is.
+    remembered: most of a text is made of chunks seen before. Letters and marks
+    are pieces of their own, so a chunk of letters, with marks behind them or not, is lower-cased and merged
+    without the tokenizer's search for pieces; any other is encoded as it is.
     ``plain``: strings of special tokens are ordinary text.
     """
 
@@ -52,58 +76,38 @@ class WordTokenizer:
         assert self.tokenizer.get_vocab_size() <= 1 << 16
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.marks = dict(zip(_MARKS, self._encoded(list(_MARKS)), strict=True)) | {"": b""}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u2").tobytes() for x in made]
-
-    def _word(self, chunk: str) -> bytes | None:
-        """The ids of a chunk of letters of the first 256 code points, and perhaps a mark."""
+        self.chunks = _Memory(self._chunk)
+        self.words = _Memory(self._word)
+        self.marks = _Memory(self._encoded)
+
+    def _encoded(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+    def _word(self, word: str) -> bytes:
+        """The ids of lower-case letters of the first 256 code points."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        found = self.merge(word)
+        return struct.pack(f"<{len(found)}H", *[t.id for t in found])
+
+    def _chunk(self, chunk: str) -> bytes:
         low = chunk.lower()
-        mark = low[-1] if low[-1] in _MARKS else ""
-        word = low[:-1] if mark else low
-        if not word.isalpha():
-            return None
-        ids = self.words.get(word)
-        if ids is None:
-            written = word
-            if not word.isascii():
-                if max(word) > "\xff":
-                    return None
-                written = word.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[word] = struct.pack(
-                f"<{len(found := self.merge(written))}H", *[t.id for t in found]
-            )
-        return ids + self.marks[mark]
-
-    def _learn(self, chunks: set[str]) -> None:
-        rest = []
-        for chunk in chunks:
-            ids = self._word(chunk)
-            if ids is None:
-                rest.append(chunk)
-            else:
-                self.known[chunk] = ids
-        self.known.update(zip(rest, self._encoded(rest), strict=True))
+        word = low.rstrip(_MARKS)
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            return self.words[word] + self.marks[low[len(word) :]]
+        return self._encoded(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null is empty."""
-        split = [(text or "").split() for text in texts]
-        odd = [i for i, t in enumerate(texts) if t and any(c in t for c in _ODD_BLANKS)]
-        chunks_here = {chunk for chunks in split for chunk in chunks}
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.words.clear()
-        if missing := chunks_here - self.known.keys():
-            self._learn(missing)
-        known = self.known
-        made = [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
-        for i, ids in zip(odd, self._encoded([texts[i] for i in odd]), strict=True):
-            made[i] = ids
-        return made
+        return [self._text(text) for text in texts]
+
+    def _text(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if any(c in text for c in _ODD_BLANKS):
+            return self._encoded(text)
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 @functools.cache
