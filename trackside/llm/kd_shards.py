@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trackside.llm.groups import numbered
+from trackside.llm.groups import attach, numbered
 from trackside.llm.store import keep
 
 #: Steps of a dimension's axis, and hashed places at each step that order equal values.
@@ -17,10 +18,27 @@ AXIS, TIES = 2**31 - 1, 2**31
 BINS = 1024
 
 
-def text_place(column: Column) -> Column:
-    """A number that orders strings by their first seven bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _placed(rows: DataFrame, dim: str, total: int) -> DataFrame:
+    """``rows`` with the texts of ``dim`` replaced by their places among its different texts in order.
+
+    The different texts are sorted by range, so any number of them is placed in many tasks; a
+    hot text's rows take its place where they lie.
+    """
+    texts = keep(
+        rows.groupBy(dim).agg(F.count(F.lit(1)).alias("__n")).repartitionByRange(dim)
+        .select(dim, "__n", F.spark_partition_id().alias("__range")),
+        "texts",
+    )
+    # One row for each range, and there are no more of these than the session has shuffle partitions.
+    before = texts.groupBy("__range").agg(F.count(F.lit(1)).alias("__size")).select(
+        "__range", (F.sum("__size").over(Window.orderBy("__range")) - F.col("__size")).alias("__before")
+    )
+    number = F.row_number().over(Window.partitionBy("__range").orderBy(dim)) - 1
+    places = texts.withColumn("__number", number).join(F.broadcast(before), "__range").select(
+        dim, "__n", (F.col("__number") + F.col("__before")).cast("double").alias("__at")
+    )
+    others = [F.col(c) for c in rows.columns if c != dim]
+    return attach(rows, places, dim, "__n", total).select(*others, F.col("__at").alias(dim))
 
 
 def _axes(rows: DataFrame, dims: list[str]) -> DataFrame:
@@ -46,14 +64,14 @@ def _widest(rows: DataFrame, dims: list[str]) -> DataFrame:
         F.sum("size").alias("total"),
         *[f(d).alias(f"{f.__name__}_{d}") for d in dims for f in (F.min, F.max)],
     )
-    by_width = F.greatest(*[
+    by_width = F.array_max(F.array(*[
         F.struct(
             # The width counts values only, so dimensions of one value are never chosen for their hash.
             (F.expr(f"max_{d} div {TIES} - min_{d} div {TIES}")).alias("width"),
             F.lit(-i).alias("first"), F.col(f"min_{d}").alias("low"), F.col(f"max_{d}").alias("high"),
         )
         for i, d in enumerate(dims)
-    ])
+    ]))
     return found.select("node", "leaves", "total", by_width.alias("w")).select(
         "node", "leaves", "total", (-F.col("w.first")).alias("dim"), "w.low", "w.high",
     )
@@ -116,8 +134,8 @@ def kd_shards(
     leaf stands for one shard; a leaf that stands for an odd number is cut in proportion. ``shards``
     gives their number, or ``target_bytes`` the bytes of a shard. All rows with the value at
     the cut, a hot source for instance, are ordered by a hash of their id and divided too.
-    ``dims`` maps names to numeric columns; by default source, language, length and id, as
-    far as the table has them.
+    ``dims`` maps names to columns of numbers or texts; by default source, language, length and id, as
+    far as the table has them. Texts lie on their axis by order, at equal distances.
 
     Size is the text's UTF-8 bytes plus one, a null text none. Null metadata count as the
     lowest value. Slots are gapless from 0 in each shard. With fewer rows than shards some
@@ -126,23 +144,28 @@ def kd_shards(
     text = F.col(f"`{text_col}`")
     size = F.coalesce(F.octet_length(text), F.lit(0)) + 1
     if dims is None:
-        dims = {c: text_place(F.col(c)) for c in ("source", "lang") if c in docs.columns}
+        dims = {c: F.col(c).cast("string") for c in ("source", "lang") if c in docs.columns}
         dims |= {"length": size.cast("double")}
         if dict(docs.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
             dims |= {"id_order": F.col(f"`{id_col}`").cast("double")}
     names = [f"d_{i}" for i in range(len(dims))]
+    of_texts = [n for n, c in zip(names, dims.values(), strict=True)
+                if docs.select(c.alias(n)).schema[n].dataType == T.StringType()]
     points = keep(
         docs.select(
             F.col(f"`{id_col}`").alias("id"), F.monotonically_increasing_id().alias("row"),
             size.cast("bigint").alias("size"),
             F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
-            *[c.alias(n) for n, c in zip(names, dims.values(), strict=True)],
+            *[(F.coalesce(c, F.lit("")) if n in of_texts else c).alias(n)
+              for n, c in zip(names, dims.values(), strict=True)],
         ),
         "points",
     )
     whole = points.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
     if shards is None:
         shards = max(1, -(-(whole.bytes or 0) // (target_bytes or 2**30)))
+    for n in of_texts:
+        points = keep(_placed(points, n, whole.n), "points")
     placed = keep(
         _axes(points, names).withColumns(
             {"node": F.lit(0).cast("bigint"), "leaves": F.lit(shards).cast("bigint")}
