@@ -19,11 +19,12 @@ import oracle  # noqa: E402
 from trackside import fixtures, operators  # noqa: E402
 from trackside.functions import build_session_id  # noqa: E402
 from trackside.operators import quality  # noqa: E402
-from trackside.plans import marts, reports  # noqa: E402
+from trackside.operators.watch import Watch  # noqa: E402
+from trackside.plans import marts, reports, seasons  # noqa: E402
 from trackside.plans.pipeline import Pipeline  # noqa: E402
 from trackside.schemas import NATURAL_KEYS, RAW, SOURCE  # noqa: E402
 from trackside.session import apply_settings, scratch_path, settled  # noqa: E402
-from trackside.sources import batches, catalog, landing, loading, loads, shaping  # noqa: E402
+from trackside.sources import batches, catalog, drift, landing, loading, loads, shaping  # noqa: E402
 from trackside.streaming import incremental_session_append  # noqa: E402
 
 # The subpackage for text corpora and its pipeline are optional: without them the rest works.
@@ -351,6 +352,63 @@ def dq_season_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.season_coverage({name: getattr(made, name) for name in names})
 
 
+def dq_watched_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs in result rows, counted while these are stored."""
+    watch = Watch(["session_id", "finish_position", "points", "status"])
+    landing.write_mart(_raw(spark, sf_dir).results, scratch_path(spark, "watched"), watch)
+    return watch.nulls(spark)
+
+
+def dq_watched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status codes that are not accepted, noticed while results are stored and looked up there."""
+    watch = Watch(accepted={"status": ["Finished", "Retired"]})
+    results = _raw(spark, sf_dir).results
+    return watch.others(landing.write_mart(results, scratch_path(spark, "watched"), watch), "status")
+
+
+def dq_watched_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["race_results", "qualifying_results", "lap_times", "season_calendar"]
+    made = pipeline(spark, sf_dir, ["laps"], ["stg_results"], as_of=AS_OF)
+    return made.keep(scratch_path(spark, "watched"), *names).coverage(*names)
+
+
+def dq_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of landed laps by what their files have otherwise than declared; from 1997 on a feed has changed."""
+    path, laps = scratch_path(spark, "landing"), fixtures.Sources(spark, sf_dir).laps
+    laps = landing.conform(laps, SOURCE["laps"])
+    late = F.coalesce(F.col("session_id") >= "1997", F.lit(False))
+    renamed = laps.withColumn("LapNumber", F.col("LapNumber").cast("bigint")).withColumnRenamed("TyreLife", "TyreAge")
+    laps.filter(~late).write.parquet(f"{path}/part=early")
+    renamed.filter(late).write.parquet(f"{path}/part=late")
+    return drift.schema_drift(spark, path, SOURCE["laps"]).groupBy(
+        "column_name", "problem", "declared", "found"
+    ).agg(F.sum("rows").alias("rows"))
+
+
+def refresh_lap_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lap times by season, refreshed after a load of two thirds of the seasons and after one of the rest."""
+    raw, root, feeds = scratch_path(spark, "raw"), scratch_path(spark, "seasons"), _load_feeds(spark, sf_dir)
+    for events in (feeds["events"].filter("season <= 1996"), feeds["events"]):
+        loading.load_sessions(spark, {**feeds, "events": events}, raw, LOADED_AT)
+        seasons.refresh(spark, raw, root, AS_OF)
+    return seasons.SeasonMarts(spark, root).read("lap_times")
+
+
+def refresh_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laps by season and the refresh that made them, after 1997 was loaded again without odd rounds' laps."""
+    raw, root, feeds = scratch_path(spark, "raw"), scratch_path(spark, "seasons"), _load_feeds(spark, sf_dir)
+    loading.load_sessions(spark, feeds, raw, LOADED_AT)
+    seasons.refresh(spark, raw, root, AS_OF)
+    even = F.split_part("session_id", F.lit("_"), F.lit(2)).cast("int") % 2 == 0
+    worklist = loading.expected_grid(_season_rounds(spark, sf_dir)).filter("season = 1997")
+    loading.load_sessions(spark, {**feeds, "laps": feeds["laps"].filter(even)}, raw, RELOADED_AT, worklist)
+    seasons.refresh(spark, raw, root, AS_OF)
+    now = seasons.SeasonMarts(spark, root)
+    laps = now.read("lap_times").groupBy("season").agg(F.count(F.lit(1)).alias("laps"))
+    made_by = F.split_part("version", F.lit("-"), F.lit(1)).cast("int").alias("refresh")
+    return laps.join(now.versions().select("season", made_by), "season")
+
+
 def _report(report: Callable[..., DataFrame], mart: str) -> Query:
     return lambda spark, sf_dir: report(_made(spark, sf_dir, mart))
 
@@ -620,6 +678,12 @@ def _all_queries() -> dict[str, Query]:
         "catalog_created": catalog_created,
         "catalog_leaders": catalog_leaders,
         "report_laps_where": report_laps_where,
+        "dq_watched_nulls": dq_watched_nulls,
+        "dq_watched_values": dq_watched_values,
+        "dq_watched_coverage": dq_watched_coverage,
+        "dq_schema_drift": dq_schema_drift,
+        "refresh_lap_times": refresh_lap_times,
+        "refresh_seasons": refresh_seasons,
         "events_running_errors_cuts": _on("events", events_running_errors_cuts),
         "lines_delta_to_median_cuts": _on("lineitem", lines_delta_to_median_cuts),
         "lines_next_line": _on("lineitem", lines_next_line),

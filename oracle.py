@@ -485,6 +485,14 @@ STATEMENTS: dict[str, str] = {
     "dq_accepted_values": """
       select status as "value", count(*) as row_count from raw_results
       where status not in ('Finished', 'Retired') group by all""",
+    "dq_schema_drift": """
+      select column_name, problem, declared, found, "rows"
+      from (select count(*) as "rows" from raw_laps where session_id >= '1997'),
+           (values ('TyreLife', 'missing', 'double', null), ('TyreAge', 'undeclared', null, 'double'),
+                   ('LapNumber', 'type', 'double', 'bigint')) t(column_name, problem, declared, found)""",
+    "refresh_seasons": """
+      select season, count(*) as laps, if(season = 1997, 2, 1) as refresh
+      from lap_times where season <> 1997 or round_number % 2 = 0 group by season""",
     "dq_missing_rounds": """
       select g.season, g.round_number, t.session_type,
              g.season || '_' || g.round_number || '_' || t.session_type as session_id
@@ -638,6 +646,10 @@ for _blocks, _plain in {
     "tyre_strategy_in_buckets": "tyre_strategy",
     "pit_stops_in_buckets": "pit_stops",
     "catalog_created": "scan_raw_circuits",
+    "dq_watched_nulls": "dq_not_null",
+    "dq_watched_values": "dq_accepted_values",
+    "dq_watched_coverage": "dq_season_coverage",
+    "refresh_lap_times": "lap_times",
 }.items():
     STATEMENTS[_blocks] = STATEMENTS[_plain]
 

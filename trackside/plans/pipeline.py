@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from trackside.operators import quality
+from trackside.operators.watch import Watch, coverage
 from trackside.plans import marts, staging
 from trackside.schemas import RAW, SESSION_TYPES
 from trackside.sources import catalog, landing, loading
@@ -23,11 +24,22 @@ CLUSTERED = {
     "race_results": ("abbreviation", "round_number"),
 }
 
+# What every mart needs of a session.
+SESSION_COLUMNS = ["session_id", "season", "session_type"]
+# Columns whose NULLs are counted in whatever else is stored.
+NEEDED = ["session_id", "season", "round_number", "points"]
 LAP_BUCKETS = ["session_id", "abbreviation"]
 # Relations that read their laps once where they may store what they read.
 ONCE = {"lap_times": marts.lap_times_once, "tyre_strategy": marts.tyre_strategy_once}
 
 
+def _watch(name: str, columns: Sequence[str]) -> Watch:
+    """What is counted while a relation is stored."""
+    accepted = {"session_type": SESSION_TYPES} if name == "stg_sessions" else {}
+    needed = SESSION_COLUMNS if name == "stg_sessions" else [c for c in NEEDED if c in columns]
+    return Watch(needed, accepted, "season" if "season" in columns else None)
+
+
 class Pipeline:
     """Staging relations and marts over seven raw relations.
 
@@ -49,6 +61,7 @@ class Pipeline:
         self.raw, self.as_of, self.dedupe = raw, as_of, dedupe
         self.tiebreaks = tiebreaks or {}
         self.in_buckets = False
+        self.watched: dict[str, Watch] = {}
 
     @classmethod
     def over(cls, spark: SparkSession, root: str, **options) -> Pipeline:
@@ -136,22 +149,24 @@ class Pipeline:
     def check(self, rounds: DataFrame | None = None) -> None:
         """Stop on session rows that would spoil every mart, and on rounds that are missing.
 
-        ``rounds``: the expected ``season, rounds``; without it completeness is not checked.
+        ``rounds``: the expected ``season, rounds``; without it completeness is not checked. Of sessions
+        that ``keep`` has stored, NULLs and values were counted then and are not scanned for again.
         """
-        sessions = self.stg_sessions
+        sessions, watch = self.stg_sessions, self.watched.get("stg_sessions")
         quality.gate("unique session_id", quality.unique(sessions, "session_id"))
-        quality.gate(
-            "not null",
-            quality.not_null(sessions, ["session_id", "season", "session_type"]),
-        )
-        quality.gate(
-            "session_type", quality.accepted_values(sessions, "session_type", SESSION_TYPES)
-        )
+        if watch:
+            nulls = watch.nulls(sessions.sparkSession)
+            others = watch.others(sessions, "session_type")
+        else:
+            nulls = quality.not_null(sessions, SESSION_COLUMNS)
+            others = quality.accepted_values(sessions, "session_type", SESSION_TYPES)
+        quality.gate("not null", nulls)
+        quality.gate("session_type", others)
         if rounds is not None:
             missing = quality.missing_rounds(loading.expected_grid(rounds), sessions)
             quality.gate("all rounds", missing)
 
-    def _to_store(self, name: str) -> DataFrame:
+    def to_store(self, name: str) -> DataFrame:
         """A relation in the form that is best where it is stored anyway: it may store on its way."""
         if name in ONCE and name not in self.__dict__ and not self.in_buckets:
             return ONCE[name](self.stg_laps, self.stg_sessions)
@@ -163,23 +178,29 @@ class Pipeline:
         Worth it for a relation that is costly to make and read by several marts.
         """
         for name in names:
-            path, relation = f"{root}/{name}", self._to_store(name)
+            path, relation = f"{root}/{name}", self.to_store(name)
+            watch = self.watched[name] = _watch(name, relation.columns)
             if name in CLUSTERED:
-                stored = landing.write_clustered(relation, path, cluster=CLUSTERED[name])
+                stored = landing.write_clustered(relation, path, cluster=CLUSTERED[name], watch=watch)
             else:
-                stored = landing.write_mart(relation, path)
+                stored = landing.write_mart(relation, path, watch)
             setattr(self, name, stored)
         return self
 
+    def coverage(self, *names: str) -> DataFrame:
+        """The seasons of stored relations, as counted while they were written: ``season, in_<name> …``."""
+        watched = {name: self.watched[name] for name in names}
+        return coverage(self.raw["sessions"].sparkSession, watched)
+
     def write(self, root: str, rounds: DataFrame | None = None) -> dict[str, DataFrame]:
         """Check, then store all marts in order of dependence; later ones read the stored earlier ones.
 
-        The deduplicated results are stored too, since two marts read them. Writing again stores
+        Sessions and deduplicated results are stored too, since several marts read them. Writing again stores
         new versions made from the raw tables as they are now.
         """
-        for name in ("stg_results", *MARTS):
+        for name in ("stg_sessions", "stg_results", *MARTS):
             self.__dict__.pop(name, None)
-        self.check(rounds)
+        self.keep(root, "stg_sessions").check(rounds)
         self.keep(root, "stg_results", *MARTS)
         return {name: getattr(self, name) for name in MARTS}
 

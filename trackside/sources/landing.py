@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackside.operators.watch import Watch
 from trackside.schemas import RAW, SOURCE
 from trackside.session import settled
 from trackside.sources import batches, loads, storage
@@ -116,21 +117,19 @@ def _switched(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return read_mart(spark, path, schema)
 
 
-def write_mart(df: DataFrame, path: str) -> DataFrame:
-    """Store a new version of a mart and return it as stored.
+def write_mart(df: DataFrame, path: str, watch: Watch | None = None) -> DataFrame:
+    """Store a new version of a mart and return it as stored; ``watch`` counts while it is written.
 
     The version before stays until the new one is complete, so a write that fails leaves
     the old mart, and a mart may be made from itself.
     """
-    df.write.parquet(_new_version(df.sparkSession, path))
+    rows = watch.on(df) if watch else df
+    rows.write.parquet(_new_version(df.sparkSession, path))
     return _switched(df.sparkSession, path, df.schema)
 
 
-def write_clustered(
-    df: DataFrame, path: str, partition: str = "season",
-    cluster: Sequence[str] = ("abbreviation", "round_number"),
-) -> DataFrame:
-    """Store a new version of a mart, partitioned by ``partition`` and sorted by ``cluster`` within.
+def clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFrame:
+    """The rows in range partitions by ``partition`` and ``cluster``, sorted within, to be written.
 
     Range partitioning on these columns gives every file a narrow range of the cluster columns, so
     that a reader skips directories by season and row groups by driver and round. A hash of the
@@ -138,9 +137,15 @@ def write_clustered(
     tasks and files too. The rows are stored before, as the ranges are found by reading them.
     """
     last = F.xxhash64(*df.columns)
-    (
-        settled(df).repartitionByRange(partition, *cluster, last)
-        .sortWithinPartitions(partition, *cluster)
-        .write.partitionBy(partition).parquet(_new_version(df.sparkSession, path))
-    )
+    return settled(df).repartitionByRange(partition, *cluster, last).sortWithinPartitions(partition, *cluster)
+
+
+def write_clustered(
+    df: DataFrame, path: str, partition: str = "season",
+    cluster: Sequence[str] = ("abbreviation", "round_number"), watch: Watch | None = None,
+) -> DataFrame:
+    """Store a new version of a mart, partitioned by ``partition`` and ``clustered`` within."""
+    rows = clustered(df, partition, cluster)
+    rows = watch.on(rows) if watch else rows
+    rows.write.partitionBy(partition).parquet(_new_version(df.sparkSession, path))
     return _switched(df.sparkSession, path, df.schema)
