@@ -93,3 +93,36 @@ def test_an_empty_batch(spark):
     path = scratch_path(spark, "table")
     assert batches.add(spark.createDataFrame([], PIT), path, PIT, KEYS, "a")
     assert batches.read(spark, path, PIT).count() == batches.unplaced(spark, path, PIT).count() == 0
+
+
+def test_only_rows_loaded_last_of_keys_not_held_are_ranked(spark, monkeypatch):
+    """Ranking sorts its rows, so those that cannot be the one of their key stay out of it."""
+    ranked, rank = [], batches.latest_by_key
+
+    def counted(df, *args):
+        ranked.append(df.count())
+        return rank(df, *args)
+
+    monkeypatch.setattr(batches, "latest_by_key", counted)
+    path = scratch_path(spark, "table")
+    rows = spark.createDataFrame([*ODD, ("2024_1_R", "1", "D1", 1, 6, 2.5, datetime(2024, 3, 2))], PIT)
+    batches.add(rows, path, PIT, KEYS, "a")
+    batches.add(rows, path, PIT, KEYS, "b")
+    # Two keys, each with one row of the latest time; the second time both are held.
+    assert ranked == [2, 0]
+    assert not storage.children(spark, f"{path}/newest/")
+
+
+def test_unknown_load_times_and_zeros_with_a_sign(spark):
+    path = scratch_path(spark, "table")
+    rows = [
+        ("2024_1_R", "1", "D1", 1, 5, -0.0, None), ("2024_1_R", "1", "D1", 1, 5, None, None),
+        ("2024_1_R", None, "D1", 1, 5, -0.0, STAMP), ("2024_1_R", None, "D1", 1, 5, -0.0, None),
+        ("no", None, "D1", 1, 5, -0.0, None),
+    ]
+    for name in ("a", "b"):
+        batches.add(spark.createDataFrame(rows, PIT), path, PIT, KEYS, name)
+    held, apart = _state(spark, path)
+    assert len(held) == 2 and len(apart) == 1
+    assert all("=-0.0" in x for x in [*held, *apart])
+    assert sum("loaded_at=None" in x for x in held) == 1

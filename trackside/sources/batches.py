@@ -5,7 +5,7 @@ then its line in the ledger. Readers take the directories of batches in the ledg
 is run again after a failure overwrites what it has left; one that is in the ledger is passed over.
 
 Below the table's path: ``rows/batch=<name>/part_season=<season>/``, ``unplaced/batch=<name>/`` and
-``ledger/batch=<name>/``.
+``ledger/batch=<name>/``; while a batch is added, ``newest/batch=<name>/`` too.
 """
 
 from __future__ import annotations
@@ -65,10 +65,21 @@ def unplaced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return storage.read_parts(spark, f"{path}/unplaced", schema, _committed(spark, path))
 
 
-def _absent(rows: DataFrame, held: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows whose columns no held row has; NULL equals NULL."""
-    there = prefixed(held, columns, "_held_").distinct()
-    return rows.join(there, same_keys(columns, "_held_"), "left_anti")
+def _unheld(rows: DataFrame, held: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The different ``columns`` of the rows that no held row has, each with its latest load time; NULL equals NULL.
+
+    One aggregate over both: nothing is sorted, and a task sends each value once.
+    """
+    stamp = rows.schema[STAMP].dataType
+    both = rows.select(*columns, STAMP, F.lit(False).alias("_held")).unionByName(
+        held.select(*columns, F.lit(None).cast(stamp).alias(STAMP), F.lit(True).alias("_held"))
+    )
+    # Grouping makes 0.0 of -0.0; the rows keep what they had.
+    real = [c for c in columns if isinstance(rows.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    found = both.groupBy(*[F.col(c).alias(f"_by_{c}") if c in real else c for c in columns]).agg(
+        *[F.first(c).alias(c) for c in real], F.max(STAMP).alias(STAMP), F.max("_held").alias("_held")
+    )
+    return found.filter(~F.col("_held")).select(*columns, STAMP)
 
 
 def _lacking(keys: Sequence[str]) -> Column:
@@ -99,21 +110,27 @@ def add(
         return False
     others = [c for c in schema.names if c not in {*keys, STAMP}]
     whole = [c for c in schema.names if c != STAMP]
-    rows = storage.conform(batch, schema).withColumn(
-        PART_SEASON, storage.season_of(F.col("session_id"))
-    )
-    placed = rows.filter(F.col(PART_SEASON).isNotNull())
+    season = storage.season_of(F.col("session_id"))
+    rows = storage.conform(batch, schema)
+    placed = rows.filter(season.isNotNull())
     lacking = _lacking(keys)
-    known = latest_by_key(placed.filter(~lacking), keys, [STAMP], others)
-    vague = latest_by_key(placed.filter(lacking), whole, [STAMP], whole[:1])
-    apart = latest_by_key(rows.filter(F.col(PART_SEASON).isNull()), whole, [STAMP], whole[:1])
     held = _rows(spark, path, schema)
-    seasons = placed.select(PART_SEASON).distinct().limit(SEASONS + 1).collect()
-    if len(seasons) <= SEASONS:
-        held = held.filter(F.col(PART_SEASON).isin([r[0] for r in seasons]))
-    fresh = _absent(known, held, keys).unionByName(_absent(vague, held.filter(lacking), whole))
-    kept = _absent(apart, unplaced(spark, path, schema), whole).select(*schema.names)
+    if _committed(spark, path):
+        seasons = placed.select(season).distinct().limit(SEASONS + 1).collect()
+        if len(seasons) <= SEASONS:
+            held = held.filter(F.col(PART_SEASON).isin([r[0] for r in seasons]))
+    complete = placed.filter(~lacking)
+    # Stored, so that its size is known when the rows are joined with it. Only rows of keys that are
+    # not held, and of these the ones loaded last, are ranked.
+    newest = _written(_unheld(complete, held.filter(~lacking), keys), f"{path}/newest/{BATCH}={name}")
+    known_by = [*keys, STAMP]
+    last = complete.join(prefixed(newest, known_by, "_last_"), same_keys(known_by, "_last_"), "left_semi")
+    known = latest_by_key(last, keys, [STAMP], others)
+    vague = _unheld(placed.filter(lacking), held.filter(lacking), whole)
+    fresh = known.unionByName(vague).withColumn(PART_SEASON, season)
+    kept = _unheld(rows.filter(season.isNull()), unplaced(spark, path, schema), whole).select(*schema.names)
     new = _written(fresh, f"{path}/rows/{BATCH}={name}", PART_SEASON).agg(F.count(F.lit(1)).alias("row_count"))
     odd = _written(kept, f"{path}/unplaced/{BATCH}={name}").agg(F.count(F.lit(1)).alias("unplaced_count"))
+    storage.delete(spark, f"{path}/newest/{BATCH}={name}")
     _written(new.join(odd), f"{path}/ledger/{BATCH}={name}")
     return True

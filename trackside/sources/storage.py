@@ -22,7 +22,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def season_of(session: Column) -> Column:
     """The season that a session id begins with; NULL when it begins with no number."""
-    return F.split_part(session, F.lit("_"), F.lit(1)).try_cast("bigint")
+    return F.substring_index(session, "_", 1).try_cast("bigint")
 
 
 def by_session(df: DataFrame, schema: T.StructType, session: Column) -> DataFrame:
