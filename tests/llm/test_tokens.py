@@ -126,3 +126,14 @@ def test_ids_are_spread_over_part_files(spark, tmp_path):
     table = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text")).repartition(4)
     token_counts.write_token_files(table, f"{tmp_path}/t")
     assert token_counts.scan_token_files(spark, f"{tmp_path}/t/kind=tokens").filter("n_tokens = 2").count() == 50
+
+
+def test_all_that_a_worker_remembers_is_bounded_at_once(monkeypatch):
+    """Chunks, the words in them and their marks share one bound; what was forgotten is made again."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    tokenizer = tokens.WordTokenizer(tokens.tokenizer_path(), False)
+    words = [f"{a}{b}{mark}" for a in "abcdefgh" for b in ("lpha", "eta", "ËÉ", "1x") for mark in ("", ",", "?!", "...")]
+    text = " ".join([*words, *map(str.upper, words), *words])
+    assert tokenizer.ids([text]) == [tokenizer._encoded(text)]
+    memories = [x for x in vars(tokenizer).values() if isinstance(x, tokens._Memory)]
+    assert sum(len(x) + len(x.older) for x in memories) <= 20

@@ -11,8 +11,9 @@ from collections.abc import Callable
 #: The folder of the public tokenizer files; a parameter of every operator that needs one.
 FOLDER = "/opt/tokenizers"
 FILE = "word_bpe_49k.json"
-#: Chunks whose ids a worker remembers, and words; each has at most so many characters.
-REMEMBERED, LONGEST = 700_000, 64
+#: Chunks whose ids a worker remembers, the words and marks in them included; each has at most so many characters.
+#: A worker keeps them as long as it lives, through other stages too.
+REMEMBERED, LONGEST = 300_000, 64
 # Python splits at these, the tokenizer does not.
 _ODD_BLANKS = "\x1c\x1d\x1e\x1f"
 _MARKS = string.punctuation
@@ -77,8 +78,6 @@ class WordTokenizer:
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.chunks = _Memory(self._chunk)
-        self.words = _Memory(self._word)
-        self.marks = _Memory(self._encoded)
 
     def _encoded(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -95,7 +94,9 @@ class WordTokenizer:
         low = chunk.lower()
         word = low.rstrip(_MARKS)
         if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
-            return self.words[word] + self.marks[low[len(word) :]]
+            if word == chunk:
+                return self._word(word)
+            return self.chunks[word] + self.chunks[low[len(word) :]]
         return self._encoded(chunk)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
