@@ -143,10 +143,7 @@ def refresh(
         rows.write.parquet(f"{root}/{name}/{VERSION}={version}")
     rows = [("season", str(s), v) for s, v in sorted(after.seasons.items())]
     rows += [("load", name, version) for name in sorted(after.loads)]
-    (
-        spark.createDataFrame(rows, STATE).coalesce(1)
-        .write.options(**storage.MARKED).parquet(f"{root}/state/{VERSION}={version}")
-    )
+    spark.createDataFrame(rows, STATE).write.options(**storage.MARKED).parquet(f"{root}/state/{VERSION}={version}")
     return seasons
 
 
