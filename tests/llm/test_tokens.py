@@ -137,3 +137,31 @@ def test_all_that_a_worker_remembers_is_bounded_at_once(monkeypatch):
     assert tokenizer.ids([text]) == [tokenizer._encoded(text)]
     memories = [x for x in vars(tokenizer).values() if isinstance(x, tokens._Memory)]
     assert sum(len(x) + len(x.older) for x in memories) <= 20
+
+
+def test_distinct_chunks_are_looked_up_once(monkeypatch):
+    """A text's chunks go to the tokenizer as often as they differ, not as often as they stand there."""
+    tokenizer = tokens.WordTokenizer(tokens.tokenizer_path(), False)
+    asked = []
+    looked_up = tokenizer._looked_up
+    monkeypatch.setattr(tokenizer, "_looked_up", lambda strings: asked.extend(strings.to_pylist()) or looked_up(strings))
+    texts = ["Alpha beta, BETA! alpha... gamma" * 50, None, "beta gamma 1x " * 100]
+    assert tokenizer.ids(texts) == [tokenizer._encoded(t or "") for t in texts]
+    assert len(asked) == len(set(asked)) < 12
+
+
+def test_texts_of_all_kinds_of_characters(monkeypatch):
+    """Every character beside letters and marks, in pieces of every size, gives what the tokenizer gives."""
+    tokenizer = tokens.WordTokenizer(tokens.tokenizer_path(), False)
+    some = [*map(chr, range(0x250)), *"ẞKÅſİıΣςﬁ\u0301\u0307\u2028\u3000\u200b\ufeff中😀"]
+    texts = [f"{c}{c} Ab{c}x été{c} {c}É, a{c}" for c in some]
+    texts += ["", None, " ", "x" * 3000, "é" * 100 + "!", "<|endoftext|>a <|endoftext|>", "".join(texts)]
+    want = [tokenizer._encoded(t or "") for t in texts]
+    for at_once in (1, 50, tokens.AT_ONCE):
+        monkeypatch.setattr(tokens, "AT_ONCE", at_once)
+        assert tokenizer.ids(texts) == want
+    for at in range(0, len(texts), 97):
+        assert tokenizer.ids(texts[at : at + 97]) == want[at : at + 97]
+    assert tokenizer.ids([]) == []
+    assert tokenizer.ids([None, ""]) == [b"", b""]
+    assert tokens.WordTokenizer(tokens.tokenizer_path(), False).ids(["a b"]) == [tokenizer._encoded("a b")]

@@ -19,8 +19,6 @@ WINDOW = 2048
 END_ID = 1
 #: Steps of the least-squares search.
 STEPS = 200
-#: Documents that are tokenized at once.
-AT_ONCE = 256
 _RANK_BITS = 40
 
 Pattern = tuple[tuple[int, ...], int]
@@ -36,23 +34,21 @@ def pieces(
     empty text has ``end_id`` only. The checksum is of the ids as little-endian 32-bit numbers.
     """
     path = path or tokenizer_path()
-    end = np.array([end_id], "<u2").tobytes()
+    end = np.uint16(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path, False)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             place, start, length, crc, total = [], [], [], [], []
-            for at in range(0, len(texts), AT_ONCE):
-                for i, ids in enumerate(tokenizer.ids(texts[at : at + AT_ONCE]), at):
-                    numbers = np.frombuffer(ids + end, "<u2").astype("<u4")
-                    for cut in range(0, len(numbers), window):
-                        part = numbers[cut : cut + window]
-                        place.append(i)
-                        start.append(cut)
-                        length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
-                        total.append(len(numbers))
+            for i, ids in enumerate(tokenizer.arrays(batch.column("text"))):
+                numbers = np.append(ids, end).astype("<u4")
+                for cut in range(0, len(numbers), window):
+                    part = numbers[cut : cut + window]
+                    place.append(i)
+                    start.append(cut)
+                    length.append(len(part))
+                    crc.append(zlib.crc32(part))
+                    total.append(len(numbers))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(pa.array(place, pa.int64())) for c in ("id", "row")),
                  *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],

@@ -18,7 +18,6 @@ from trackside.llm.tokens import tokenizer_path, word_tokenizer
 END_ID = 49407
 WIDTH = 2
 BLOCK_TOKENS = 1 << 20
-AT_ONCE = 256
 _NO_ID = -(2**63)
 
 
@@ -38,11 +37,9 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokenizer(tokenizer, True)
         for batch in batches:
-            texts, made = batch.column("text").to_pylist(), []
-            for at in range(0, len(texts), AT_ONCE):
-                made += words.ids(texts[at : at + AT_ONCE])
+            made = pa.array([ids.tobytes() for ids in words.arrays(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("seq"), pa.array(made, pa.binary())],
+                [batch.column("id"), batch.column("seq"), made],
                 ["id", "seq", "ids"],
             )
 
