@@ -70,3 +70,21 @@ def test_odd_documents(spark, odd_docs, no_docs):
     fitted = toxicity.fit(*made(200, 3))
     alone = toxicity.highest_margins(["", " \n"], fitted)
     assert (fitted.probability(alone) < 0.5).all()
+
+
+def test_words_without_letters_may_come_last(spark):
+    model = toxicity.fit(*made(200, 3))
+    signs, calm = ["***", "---", "=", "…!"], ["ander", "onti", "moron"]
+    alone = model.margins(calm)
+    for last in ([""], ["", ""]):
+        got = model.margins([*calm, *last])
+        assert np.allclose(got[:3], alone, atol=1e-4) and (got[3:] == np.float32(model.bias)).all()
+    assert (model.margins([""]) == np.float32(model.bias)).all() and len(model.margins([])) == 0
+    for sign in signs:
+        assert toxicity.highest_margins([sign], model).tolist() == [np.float32(model.bias)]
+        tops = toxicity.highest_margins(["moron ander", sign, "moron"], model)
+        assert abs(tops[0] - tops[2]) < 1e-4 and tops[1] == np.float32(model.bias)
+    rows = [(i, "ander moron onti " + sign) for i, sign in enumerate(signs)] + [(9, sign) for sign in signs]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(8)
+    scored = docs.select("doc_id", toxicity.scores(docs, model).alias("score")).collect()
+    assert len(scored) == 8 and all((r.score >= 0.7) == (r.doc_id < 9) for r in scored)

@@ -130,7 +130,8 @@ def kernel_sums(words: list[str], weights: np.ndarray) -> np.ndarray:
     letters = _letters(pad.join(words) + pad)
     lengths = np.array([len(w) for w in words], np.int64)
     starts = np.cumsum(lengths + REACH) - lengths - REACH
-    n = len(letters) - REACH
+    # A last word without letters begins where the letters end; the blank there is summed for it.
+    n = len(letters) - REACH + (words[-1:] == [""])
     place = letters.astype(np.int32)
     first = place[:n] * LETTERS * LETTERS
     total = np.zeros((n, *weights.shape[1:]), weights.dtype)
